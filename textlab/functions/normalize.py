@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from .charclass import (WORD_CLASS, accent_maps, changing_chars, non_ws_class,
-                        sql_literal, strip_accents_py, ws_class)
+                        sql_literal, ws_class)
 
 # The reference's regular expressions (Python syntax), kept as
 # plain text; the Spark and DuckDB spellings below are derived from them.
@@ -98,9 +98,21 @@ def letter_tokens(c) -> Column:
     return F.filter(word_runs(c), lambda t: t.rlike(r"^\p{L}+$"))
 
 
-@F.pandas_udf(T.StringType())
-def _strip_accents_arrow(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else strip_accents_py(x))
+def _strip_accents_arrow():
+    """Arrow-batched fallback, built as a closure so it ships by value (the
+    workers need no copy of this package)."""
+    import unicodedata
+
+    def strip(x):
+        if x is None:
+            return None
+        n = unicodedata.normalize("NFKD", x)
+        return x if n == x else "".join(c for c in n if not unicodedata.combining(c))
+
+    def batch(s: pd.Series) -> pd.Series:
+        return s.map(strip)
+
+    return F.pandas_udf(batch, T.StringType())
 
 
 def strip_accents(c) -> Column:
@@ -118,7 +130,7 @@ def strip_accents(c) -> Column:
     native = F.translate(x, one_from + drop, one_to)
     return (F.when(~changes, x)
             .when(~has_multi, native)
-            .otherwise(_strip_accents_arrow(x)))
+            .otherwise(_strip_accents_arrow()(x)))
 
 
 def lemma_input(c) -> Column:

@@ -239,3 +239,67 @@ def q_avg_precision(spark, sf):
        f"round(sum(pos * tps / (tps + fps)) / sum(pos), {D}) AS pr_auc FROM c")
 def q_auc_summary(spark, sf):
     return auc_summary(_scored(spark, sf)).select(rnd("roc_auc"), rnd("pr_auc"))
+
+
+# ------------------------------------------------------- TF-IDF and chi2
+from .feature_sql import feature_ctes  # noqa: E402
+from .features import FeatureConfig, build_features  # noqa: E402
+from ..sources.io import lemma_frame  # noqa: E402
+
+K_BEST = 2000
+FEAT_CFG = FeatureConfig(seed=SEED, k_best=K_BEST, rank_digits=D)
+FEAT_CTES = feature_ctes(LAB_Q, SEED, LEMMAS, LEXICON_WORDS, K_BEST)
+
+
+def _features(spark, sf):
+    return build_features(read_labelled(spark, sf), FEAT_CFG, cues_frame(spark, LEXICON_WORDS),
+                          lemma_frame(spark, LEMMAS))
+
+
+def _block_df(block):
+    return (f"WITH {FEAT_CTES} SELECT term, df, ttf FROM dfs WHERE block = {block} AND df >= 3")
+
+
+def _spark_block_df(spark, sf, block):
+    from ..operators.tfidf import document_frequencies
+    fs = _features(spark, sf)
+    v = fs.vocab.where(F.col("block") == block).select("term")
+    # df and ttf over the train postings of the fitted vocabulary's block
+    post = fs.persisted[0].join(fs.docs.where(F.col("split") == "train").select("doc_id"), "doc_id", "left_semi")
+    return document_frequencies(post).where(F.col("block") == block).join(v, "term", "inner").select("term", "df", "ttf")
+
+
+@query("word_ngrams_df", _block_df(0))
+def q_word_ngrams_df(spark, sf):
+    return _spark_block_df(spark, sf, 0)
+
+
+@query("char_ngrams_df", _block_df(1))
+def q_char_ngrams_df(spark, sf):
+    return _spark_block_df(spark, sf, 1)
+
+
+@query("vocab_index", f"WITH {FEAT_CTES} SELECT block, term, CAST(idx AS BIGINT) AS idx, df, round(idf, {D}) AS idf FROM vocab")
+def q_vocab_index(spark, sf):
+    return _features(spark, sf).vocab.select("block", "term", "idx", "df", rnd("idf"))
+
+
+@query("tfidf_union", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM tfidf")
+def q_tfidf_union(spark, sf):
+    return _features(spark, sf).tfidf.select("doc_id", "idx", rnd("w"))
+
+
+@query("assembled_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM feat")
+def q_assembled_features(spark, sf):
+    return _features(spark, sf).assembled.select("doc_id", "idx", rnd("w"))
+
+
+@query("chi2_topk", f"WITH {FEAT_CTES} SELECT CAST(old_idx AS BIGINT) AS old_idx, CAST(new_idx AS BIGINT) AS new_idx, "
+       f"round(chi2, {D}) AS chi2 FROM sel")
+def q_chi2_topk(spark, sf):
+    return _features(spark, sf).selected.select("old_idx", "new_idx", rnd("chi2"))
+
+
+@query("selected_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM fsel")
+def q_selected_features(spark, sf):
+    return _features(spark, sf).long.select("doc_id", "idx", rnd("w"))
