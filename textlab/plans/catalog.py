@@ -303,3 +303,87 @@ def q_chi2_topk(spark, sf):
 @query("selected_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM fsel")
 def q_selected_features(spark, sf):
     return _features(spark, sf).long.select("doc_id", "idx", rnd("w"))
+
+
+# ------------------------------------------------ store, models, errors
+from ..operators.errors import error_samples  # noqa: E402
+from ..operators.models import ModelSpec, class_weights, fit, scores  # noqa: E402
+from ..operators.split import plan_split, assign_split  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.store import load_features, materialise, md5_prefix_signature  # noqa: E402
+
+
+def store_base(spark) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/textlab-store"
+
+
+def feature_store(spark, sf, cfg=FEAT_CFG):
+    """Materialised features of the labelled comments (built once per
+    signature of parameters and inputs)."""
+    docs = read_labelled(spark, sf)
+    cues, lemmas = cues_frame(spark, LEXICON_WORDS), lemma_frame(spark, LEMMAS)
+    params = {"features": cfg.as_dict(), "lexicon": sorted(LEXICON_WORDS), "lemmas": sorted(LEMMAS)}
+    return materialise(spark, store_base(spark), params, {"labelled": docs},
+                       lambda: build_features(docs, cfg, cues, lemmas))
+
+
+@query("materialise_roundtrip", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM fsel")
+def q_materialise_roundtrip(spark, sf):
+    path, _, _ = feature_store(spark, sf)
+    f = spark.read.parquet(path + "/features")
+    iv = F.arrays_zip(F.col("features.indices").alias("i"), F.col("features.values").alias("v"))
+    return (f.select("doc_id", F.explode(iv).alias("e"))
+            .select("doc_id", F.col("e.i").cast("long").alias("idx"), F.round("e.v", D).alias("w")))
+
+
+@query("input_signature",
+       "SELECT count(*) AS rows, sum(CAST(('0x' || substr(md5(coalesce(text, '')), 1, 8)) AS BIGINT)) AS md5_sum FROM documents")
+def q_input_signature(spark, sf):
+    return md5_prefix_signature(table(spark, sf, "documents"), "text")
+
+
+@query("class_weights",
+       f"WITH s AS ({split_sql(LAB_SUB, SEED)}), t AS (SELECT label, count(*) AS n FROM s WHERE split = 'train' GROUP BY label) "
+       f"SELECT label, n, round((SELECT sum(n) FROM t) / (2.0 * n), {D}) AS weight FROM t")
+def q_class_weights(spark, sf):
+    s = stratified_split(read_labelled(spark, sf), seed=SEED).where(F.col("split") == "train")
+    w = class_weights(s)
+    counts = s.groupBy("label").agg(F.count("*").alias("n"))
+    expr = F.lit(None).cast("double")
+    for c, v in w.items():
+        expr = F.when(F.col("label") == c, F.lit(v)).otherwise(expr)
+    return counts.select("label", "n", F.round(expr, D).alias("weight"))
+
+
+ERR_THRESHOLD, ERR_K = 0.05, 3
+
+
+@query("error_topk",
+       f"WITH sp AS ({split_sql(LAB_SUB, SEED)}), r AS ({RATIO_SQL}), lab AS ({LAB_Q}), "
+       f"v AS (SELECT r.doc_id AS idx, r.label AS y_true, CASE WHEN r.profanity_ratio >= {ERR_THRESHOLD} THEN 1 ELSE 0 END AS y_pred, "
+       f"r.profanity_ratio AS score FROM r JOIN sp ON r.doc_id = sp.doc_id WHERE sp.split = 'val'), "
+       "e AS (SELECT CASE WHEN y_true = 0 THEN 'fp' ELSE 'fn' END AS kind, *, "
+       f"row_number() OVER (PARTITION BY y_true ORDER BY abs(score - {ERR_THRESHOLD}) DESC, idx) AS rk "
+       "FROM v WHERE y_true <> y_pred) "
+       "SELECT kind, y_true, y_pred, score, idx, text, CASE WHEN length(replace(text, chr(10), ' ')) > 240 "
+       "THEN substr(replace(text, chr(10), ' '), 1, 240) || '…' ELSE replace(text, chr(10), ' ') END AS snippet "
+       f"FROM e JOIN lab ON e.idx = lab.doc_id WHERE rk <= {ERR_K}")
+def q_error_topk(spark, sf):
+    r = stratified_split(_scored(spark, sf), seed=SEED).where(F.col("split") == "val")
+    return error_samples(r, read_labelled(spark, sf), ERR_THRESHOLD, ERR_K)
+
+
+def model_scores(spark, sf, spec: ModelSpec, split: str = "test"):
+    path, _, _ = feature_store(spark, sf)
+    model = fit(load_features(spark, path, "train"), spec)
+    return scores(model, load_features(spark, path, split))
+
+
+@query("logreg_scores")
+def q_logreg_scores(spark, sf):
+    return model_scores(spark, sf, ModelSpec("logreg"))
+
+
+@query("svm_scores")
+def q_svm_scores(spark, sf):
+    return model_scores(spark, sf, ModelSpec("lsvc"))
