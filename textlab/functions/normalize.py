@@ -10,7 +10,7 @@ elongation rule there works on the character list).
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .charclass import (WORD_CLASS, accent_maps, changing_chars, non_ws_class,
                         sql_literal, ws_class)
@@ -115,27 +115,43 @@ def _strip_accents_arrow():
     return F.pandas_udf(batch, T.StringType())
 
 
-def strip_accents(c) -> Column:
+def _accent_parts(x: Column) -> tuple[Column, Column, Column]:
+    one_from, one_to, drop, multi = accent_maps()
+    changes = F.length(F.translate(x, changing_chars(), "")) < F.length(x)
+    has_multi = F.length(F.translate(x, multi, "")) < F.length(x)
+    native = F.when(~changes, x).otherwise(F.translate(x, one_from + drop, one_to))
+    return changes & has_multi, native, x
+
+
+def strip_accents_native(c) -> Column:
+    """The accent rule for every text without a character that NFKD expands
+    into several (exact for those; see :func:`with_stripped_accents`)."""
+    _, native, _ = _accent_parts(_text(c))
+    return native
+
+
+def with_stripped_accents(df: DataFrame, c: str, out: str) -> DataFrame:
     """sklearn ``strip_accents='unicode'``: NFKD then drop combining marks,
-    and only when NFKD changes the text at all.
+    only when NFKD changes the text at all.
 
     Characters that map to one character (or none) go through one native
-    ``translate``; only texts holding a character NFKD expands into several
-    (ligatures, Hangul syllables, fractions) take the Arrow-batched fallback.
+    ``translate``. Only rows holding a character NFKD expands into several
+    (ligatures, Hangul syllables, fractions) hand their text to the
+    Arrow-batched fallback; every other row passes a null there, so the
+    Python side sees near-empty batches. (A filter + union would be pushed
+    below any repartition into the scan and serialise the text work.)
     """
-    x = _text(c)
-    one_from, one_to, drop, multi = accent_maps()
-    changes = F.length(F.translate(x, changing_chars(), "")) < F.length(x)
-    has_multi = F.length(F.translate(x, multi, "")) < F.length(x)
-    native = F.translate(x, one_from + drop, one_to)
-    return (F.when(~changes, x)
-            .when(~has_multi, native)
-            .otherwise(_strip_accents_arrow()(x)))
+    needs, native, x = _accent_parts(_text(c))
+    d = df.withColumn("needs__", needs)
+    d = d.withColumn("rare__", _strip_accents_arrow()(F.when(F.col("needs__"), x)))
+    return (d.withColumn(out, F.when(F.col("needs__"), F.col("rare__")).otherwise(native))
+            .drop("needs__", "rare__"))
 
 
 def lemma_input(c) -> Column:
-    """Text the word block tokenises: accent-stripped, normalised again."""
-    return normalise(strip_accents(c))
+    """Text the word block tokenises from accent-stripped text: normalised
+    again (the second pass drops the ``<url>``/``<user>`` masks as tags)."""
+    return normalise(c)
 
 
 # ---------------------------------------------------------------- DuckDB SQL

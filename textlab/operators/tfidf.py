@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ngrams import char_ngrams, word_ngrams
-from ..functions.normalize import default_word_tokens, lemma_input, letter_tokens, strip_accents
+from ..functions.normalize import default_word_tokens, lemma_input, letter_tokens, with_stripped_accents
 from ..session import cut_lineage
 from .common import BROADCAST_MAX_ROWS, collect_bounded, row_count_at_most, sized_broadcast
 
@@ -83,10 +83,11 @@ def word_tokens(df: DataFrame, norm_col: str, params: TfidfParams, lemmas: DataF
     """Word-block tokens of normalised text. With the lemma tokenizer: accent
     strip, normalise again, alphabetic word runs, lemma lookup, lower-case.
     Without: accent strip, word runs of two or more characters."""
+    d = with_stripped_accents(df, norm_col, "plain__")
     if params.use_lemmatizer:
-        d = df.withColumn("wraw__", letter_tokens(lemma_input(norm_col)))
-        return lemmatize(d, "wraw__", lemmas, key, out).drop("wraw__")
-    return df.withColumn(out, default_word_tokens(strip_accents(norm_col)))
+        d = d.withColumn("wraw__", letter_tokens(lemma_input("plain__")))
+        return lemmatize(d, "wraw__", lemmas, key, out).drop("wraw__", "plain__")
+    return d.withColumn(out, default_word_tokens("plain__")).drop("plain__")
 
 
 # --------------------------------------------------------------- postings

@@ -20,9 +20,9 @@ LABELLED_SCHEMA = T.StructType([
 # only on \n, \r and \r\n.
 _EXTRA_LINE_BREAKS = "[\\x{b}\\x{c}\\x{1c}-\\x{1e}\\x{85}\\x{2028}\\x{2029}]"
 
-# A lexicon file in a non-UTF-8 charset is decoded whole in one task; this
-# bounds its size.
-MAX_DECODED_LEXICON_BYTES = 256 << 20
+# A lexicon file in a non-UTF-8 charset is decoded whole in one task and its
+# lines pass through the driver; this bounds its size.
+MAX_DECODED_LEXICON_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,8 +72,17 @@ def _lexicon_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     too_big = files.where(F.col("length") > MAX_DECODED_LEXICON_BYTES).limit(1).count()
     if too_big:
         raise ValueError(f"lexicon file over {MAX_DECODED_LEXICON_BYTES} bytes in {encoding}: {path}")
-    text = F.decode(F.col("content"), encoding)
-    return files.select(F.explode(F.split(text, "\r\n|\r|\n")).alias("line"))
+    # Spark 4 limits decode() to a few charsets unless Java charsets are
+    # enabled; switch that on for this read only (the plan is run here).
+    key = "spark.sql.legacy.javaCharsets"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        text = F.decode(F.col("content"), encoding)
+        rows = files.select(F.explode(F.split(text, "\r\n|\r|\n")).alias("line")).collect()
+    finally:
+        spark.conf.set(key, old)
+    return spark.createDataFrame([(r.line,) for r in rows], "line string")
 
 
 def read_lexicon(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
