@@ -44,6 +44,22 @@ def char_kgrams(text, k: int) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
 
 
-def char_ngrams(text, n_lo: int = 3, n_hi: int = 4) -> Column:
-    parts = [char_kgrams(text, k) for k in range(n_lo, n_hi + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+def _prefix(n: int):
+    return lambda g: F.substring(g, 1, n)
+
+
+def char_ngrams(text, n_lo: int = 3, n_hi: int = 4, top=None) -> Column:
+    """All character n-grams for n in [n_lo, n_hi] from one regex pass:
+    the n_hi-grams are matched, every shorter n-gram is a prefix of one of
+    them except the last few, which come from the text's short tail.
+    ``top`` may name a column already holding ``char_kgrams(text, n_hi)``."""
+    t = _col(text)
+    top = _col(top) if top is not None else char_kgrams(t, n_hi)
+    if n_lo == n_hi:
+        return top
+    tail = F.when(F.length(t) >= n_hi, F.substring(t, -(n_hi - 1), n_hi - 1)).otherwise(t)
+    parts = [top]
+    for n in range(n_lo, n_hi):
+        parts.append(F.transform(top, _prefix(n)))
+        parts.append(char_kgrams(tail, n))
+    return F.concat(*parts)

@@ -91,8 +91,10 @@ def word_tokens(df: DataFrame, norm_col: str, params: TfidfParams, lemmas: DataF
 
 
 # --------------------------------------------------------------- postings
-def block_terms(word_tok: Column | None, char_text: Column | None, params: TfidfParams) -> Column:
-    """One array of ``struct(block, term)`` holding both blocks' n-grams."""
+def block_terms(word_tok: Column | None, char_text: Column | None, params: TfidfParams,
+                char_top: Column | None = None) -> Column:
+    """One array of ``struct(block, term)`` holding both blocks' n-grams
+    (``char_top``: a column with the longest char n-grams, see char_ngrams)."""
     parts = []
     if word_tok is not None:
         lo, hi = params.word_ngrams
@@ -100,7 +102,7 @@ def block_terms(word_tok: Column | None, char_text: Column | None, params: Tfidf
                                  lambda t: F.struct(F.lit(WORD).alias("block"), t.alias("term"))))
     if char_text is not None:
         lo, hi = params.char_ngrams
-        parts.append(F.transform(char_ngrams(char_text, lo, hi),
+        parts.append(F.transform(char_ngrams(char_text, lo, hi, char_top),
                                  lambda t: F.struct(F.lit(CHAR).alias("block"), t.alias("term"))))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 

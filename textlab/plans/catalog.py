@@ -18,6 +18,7 @@ from ..operators.lexicon import lexicon_flag, profanity_ratio
 from ..operators.metrics import (auc_summary, average_precision, class_report, confusion,
                                  pr_curve, roc_auc, roc_curve)
 from ..operators.split import stratified_split, split_sql
+from ..operators.common import spread
 from ..sources.io import cues_frame, read_labelled, table
 
 # The lexicon fixtures (FIXTURES §2).
@@ -69,13 +70,13 @@ def q_scan_labelled(spark, sf):
        f"WITH {normalise_ctes('n', 'documents', 'doc_id', 'text')} "
        "SELECT doc_id, md5(norm) AS norm_md5, length(norm) AS norm_len FROM n")
 def q_normalise_text(spark, sf):
-    n = table(spark, sf, "documents").select("doc_id", normalise("text").alias("norm"))
+    n = spread(table(spark, sf, "documents")).select("doc_id", normalise("text").alias("norm"))
     return n.select("doc_id", F.md5("norm").alias("norm_md5"), F.length("norm").alias("norm_len"))
 
 
 @query("raw_text_stats", raw_text_stats_sql("documents", "text", "doc_id", D))
 def q_raw_text_stats(spark, sf):
-    s = raw_text_stats(table(spark, sf, "documents"), "text", ("doc_id",))
+    s = raw_text_stats(spread(table(spark, sf, "documents")), "text", ("doc_id",))
     return s.select("doc_id", *[rnd(c) for c in STAT_COLUMNS])
 
 

@@ -16,6 +16,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.ngrams import char_kgrams
 from ..functions.normalize import normalise
 from ..functions.stats import STAT_COLUMNS, raw_text_stats
 from ..operators.assemble import dense_block_long, pack
@@ -75,8 +76,11 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
     # TF-IDF blocks (F1-F11).
     p = cfg.tfidf
     d_w = word_tokens(d, "norm", p, lemmas)
-    terms = block_terms(F.col("wtok"), F.col("norm"), p)
-    post = postings(d_w.select("doc_id", *KEEP, "wtok", "norm"), terms).persist(StorageLevel.MEMORY_AND_DISK)
+    # The longest char n-grams become a column first, so the one regex pass
+    # feeds every shorter n as well.
+    d_w = d_w.select("doc_id", *KEEP, "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
+    terms = block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop"))
+    post = postings(d_w, terms).persist(StorageLevel.MEMORY_AND_DISK)
     train = keys.where(F.col("split") == "train")
     n_train = sum(n_test_val[2] for n_test_val in plan.sizes.values())
     train_post = post.join(train.select("doc_id"), "doc_id", "left_semi")
