@@ -388,3 +388,14 @@ def q_logreg_scores(spark, sf):
 @query("svm_scores")
 def q_svm_scores(spark, sf):
     return model_scores(spark, sf, ModelSpec("lsvc"))
+
+
+from ..operators.passive_aggressive import PAParams, fit_pa, pa_scores  # noqa: E402
+
+
+@query("pa_scores")
+def q_pa_scores(spark, sf):
+    path, manifest, _ = feature_store(spark, sf)
+    raw = spark.read.parquet(path + "/features")
+    weights = fit_pa(raw.where(F.col("split") == "train"), manifest["size"], PAParams())
+    return pa_scores(raw.where(F.col("split") == "test"), weights, manifest["size"])
