@@ -399,3 +399,32 @@ def q_pa_scores(spark, sf):
     raw = spark.read.parquet(path + "/features")
     weights = fit_pa(raw.where(F.col("split") == "train"), manifest["size"], PAParams())
     return pa_scores(raw.where(F.col("split") == "test"), weights, manifest["size"])
+
+
+from ..operators.tune import cv_search  # noqa: E402
+
+CV_ITER = 2
+
+
+@query("cv_search")
+def q_cv_search(spark, sf):
+    path, _, _ = feature_store(spark, sf)
+    _, _, results = cv_search(load_features(spark, path, "train"), ModelSpec("logreg"), n_iter=CV_ITER,
+                              seed=SEED, parallelism=2)
+    return results
+
+
+from ..streaming.flags import run_flag_stream  # noqa: E402
+
+
+@query("stream_lexicon_flag",
+       f"WITH {normalise_ctes('n', 'documents', 'doc_id', 'text')}, "
+       "t AS (SELECT doc_id, list_filter(string_split(norm, ' '), lambda x: x <> '') AS tok FROM n) "
+       f"SELECT doc_id, CASE WHEN list_has_any(tok, {_words_sql(LEXICON_WORDS)}) THEN 1.0 ELSE 0.0 END AS p1, "
+       f"CASE WHEN list_has_any(tok, {_words_sql(LEXICON_WORDS)}) THEN 1 ELSE 0 END AS prediction FROM t")
+def q_stream_lexicon_flag(spark, sf):
+    """All documents flagged by a Structured Streaming run over the table."""
+    import os
+    src = os.path.join(sf, "documents.parquet")
+    out = run_flag_stream(spark, src, cues_frame(spark, LEXICON_WORDS))
+    return spark.read.parquet(out).select("doc_id", "p1", "prediction")
