@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ngrams import char_ngrams, word_ngrams
@@ -107,12 +108,13 @@ def block_terms(word_tok: Column | None, char_text: Column | None, params: Tfidf
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def postings(df: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
-    """``(doc_id, block, term, tf)``. The explode stays in the scan's task and
-    the partial aggregation collapses each document's repeats before the
-    shuffle, so only distinct (document, term) pairs move."""
-    ex = df.select(key, F.explode(terms).alias("bt"))
-    return (ex.groupBy(key, F.col("bt.block").alias("block"), F.col("bt.term").alias("term"))
+def postings(df: DataFrame, terms: Column, key: str = "doc_id", keep=()) -> DataFrame:
+    """``(doc_id, *keep, block, term, tf)``; ``keep`` columns depend on the
+    key only. When ``df`` is hash-partitioned by the key the aggregation is
+    shuffle-free; otherwise the partial aggregation collapses each
+    document's repeats before the shuffle."""
+    ex = df.select(key, *keep, F.explode(terms).alias("bt"))
+    return (ex.groupBy(key, *keep, F.col("bt.block").alias("block"), F.col("bt.term").alias("term"))
             .agg(F.count("*").alias("tf")))
 
 
@@ -159,11 +161,15 @@ def fit_vocab(train_postings: DataFrame, n_docs: int, params: TfidfParams,
             v = v.orderBy(F.desc("ttf"), "term").limit(int(cap))
         kept = v if kept is None else kept.unionByName(v)
     idf = F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0
-    vocab = kept.select("block", "term", "df", idf.alias("idf"))
-    return sorted_index(vocab, ["block", "term"])
+    # The index job reads its input twice (range sampling, then the sort);
+    # the kept terms are computed once.
+    vocab = kept.select("block", "term", "df", idf.alias("idf")).persist(StorageLevel.MEMORY_AND_DISK)
+    out = sorted_index(vocab, ["block", "term"])
+    vocab.unpersist()
+    return out
 
 
-def weigh(all_postings: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
+def weigh(all_postings: DataFrame, vocab: DataFrame, key: str = "doc_id", keep=()) -> DataFrame:
     """``(doc_id, block, idx, w)``: sublinear tf times idf, L2-normalised per
     document and block; terms outside the vocabulary are dropped. The vocab
     is broadcast only after a size check; otherwise AQE splits skewed terms
@@ -172,6 +178,6 @@ def weigh(all_postings: DataFrame, vocab: DataFrame, key: str = "doc_id") -> Dat
     j = all_postings.join(v, ["block", "term"], "inner")
     raw = (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
     w = Window.partitionBy(key, "block")
-    return (j.select(key, "block", "idx", raw.alias("r"))
+    return (j.select(key, *keep, "block", "idx", raw.alias("r"))
             .withColumn("norm", F.sqrt(F.sum(F.col("r") * F.col("r")).over(w)))
-            .select(key, "block", "idx", (F.col("r") / F.col("norm")).alias("w")))
+            .select(key, *keep, "block", "idx", (F.col("r") / F.col("norm")).alias("w")))

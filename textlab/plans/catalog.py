@@ -266,7 +266,7 @@ def _spark_block_df(spark, sf, block):
     fs = _features(spark, sf)
     v = fs.vocab.where(F.col("block") == block).select("term")
     # df and ttf over the train postings of the fitted vocabulary's block
-    post = fs.persisted[0].join(fs.docs.where(F.col("split") == "train").select("doc_id"), "doc_id", "left_semi")
+    post = fs.postings.where(F.col("split") == "train")
     return document_frequencies(post).where(F.col("block") == block).join(v, "term", "inner").select("term", "df", "ttf")
 
 
@@ -298,7 +298,9 @@ def q_assembled_features(spark, sf):
 @query("chi2_topk", f"WITH {FEAT_CTES} SELECT CAST(old_idx AS BIGINT) AS old_idx, CAST(new_idx AS BIGINT) AS new_idx, "
        f"round(chi2, {D}) AS chi2 FROM sel")
 def q_chi2_topk(spark, sf):
-    return _features(spark, sf).selected.select("old_idx", "new_idx", rnd("chi2"))
+    """The selection as saved by the feature store (built if missing)."""
+    path, _, _ = feature_store(spark, sf)
+    return spark.read.parquet(path + "/selected").select("old_idx", "new_idx", rnd("chi2"))
 
 
 @query("selected_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM fsel")

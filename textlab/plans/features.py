@@ -53,6 +53,7 @@ class FeatureSet:
     size: int                # width after selection
     tfidf: DataFrame | None = None      # (doc_id, idx, w) word + char blocks
     assembled: DataFrame | None = None  # all blocks before selection (+ keys)
+    postings: DataFrame | None = None   # (doc_id, keys, block, term, tf)
     persisted: list = field(default_factory=list)
 
     def packed(self) -> DataFrame:
@@ -76,41 +77,48 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
     # TF-IDF blocks (F1-F11).
     p = cfg.tfidf
     d_w = word_tokens(d, "norm", p, lemmas)
+    # The accent fallback (an Arrow evaluation) hides the doc_id partitioning;
+    # re-partitioning the document rows here is far cheaper than letting the
+    # postings aggregation and the per-document window shuffle n-gram rows.
+    d_w = d_w.repartition("doc_id")
     # The longest char n-grams become a column first, so the one regex pass
     # feeds every shorter n as well.
     d_w = d_w.select("doc_id", *KEEP, "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
     terms = block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop"))
-    post = postings(d_w, terms).persist(StorageLevel.MEMORY_AND_DISK)
+    post = postings(d_w, terms, keep=KEEP).persist(StorageLevel.MEMORY_AND_DISK)
     train = keys.where(F.col("split") == "train")
     n_train = sum(n_test_val[2] for n_test_val in plan.sizes.values())
     train_post = post.join(train.select("doc_id"), "doc_id", "left_semi")
     vocab = fit_vocab(train_post, n_train, p, blocks=(WORD, CHAR))
     v_size = vocab.count()
-    w = weigh(post, vocab).select("doc_id", "idx", "w")
+    w = weigh(post, vocab, keep=KEEP).select("doc_id", *KEEP, "idx", "w")
     blocks = [w]
     width = v_size
 
     # Raw statistics (14 columns) and profanity ratio (F12, F13).
     if cfg.use_raw_feats:
-        stats = raw_text_stats(d, "text", ("doc_id",))
-        blocks.append(dense_block_long(stats, STAT_COLUMNS, width))
+        stats = raw_text_stats(d, "text", ("doc_id", *KEEP))
+        blocks.append(dense_block_long(stats, STAT_COLUMNS, width, keep=KEEP))
         width += len(STAT_COLUMNS)
     if cfg.use_profanity_ratio and cues is not None:
-        pr = profanity_ratio(d.select("doc_id", "norm"), cues, "norm")
-        blocks.append(dense_block_long(pr, ["profanity_ratio"], width))
+        pr = profanity_ratio(d.select("doc_id", *KEEP, "norm"), cues, "norm")
+        blocks.append(dense_block_long(pr, ["profanity_ratio"], width, keep=KEEP))
         width += 1
     long = blocks[0]
     for b in blocks[1:]:
         long = long.unionByName(b)
-    long = long.join(keys, "doc_id", "inner")
+    # Feeds both the chi2 scores and the projection: kept, not recomputed.
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
     assembled = long
 
     selected, size = None, width
     if cfg.selection:
         priors = class_priors(train)
         scores = chi2_scores(long.where(F.col("split") == "train"), priors)
-        selected = top_k(scores, min(cfg.k_best, width), digits=cfg.rank_digits)
+        # k rows at most: kept, so the size check and the projection share it
+        selected = top_k(scores, min(cfg.k_best, width), digits=cfg.rank_digits).persist()
         long = project(long, selected)
         size = min(cfg.k_best, width)
     return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected,
-                      n_features=width, size=size, tfidf=w, assembled=assembled, persisted=[post])
+                      n_features=width, size=size, tfidf=w, assembled=assembled, postings=post,
+                      persisted=[assembled, post] + ([selected] if selected is not None else []))
