@@ -82,3 +82,26 @@ def cv_search(train: DataFrame, base: ModelSpec, n_iter: int = 15, seed: int = 1
         [(i, json.dumps(c, sort_keys=True), float(a)) for i, (c, a) in enumerate(zip(cands, avg))],
         "candidate int, params string, mean_f1 double")
     return model.bestModel, {"best_score_cv": avg[best], "best_params": cands[best]}, results
+
+
+def save_best_params(spark: SparkSession, best: dict, path: str) -> None:
+    """``{best_score_cv, best_params}`` as one JSON line."""
+    spark.createDataFrame([(json.dumps(best, sort_keys=True),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+
+
+def load_best_params(spark: SparkSession, path: str) -> dict | None:
+    """Saved best parameters, or None when absent; an unreadable file is
+    reported and ignored (the estimator keeps its defaults)."""
+    import warnings
+    try:
+        rows = spark.read.text(path).collect()
+    except Exception:  # noqa: BLE001 - absent
+        return None
+    try:
+        data = json.loads(rows[0].value)
+        params = data.get("best_params") or data
+        return params if isinstance(params, dict) else None
+    except Exception as e:  # noqa: BLE001
+        warnings.warn(f"Could not read best params at {path}: {e}")
+        return None

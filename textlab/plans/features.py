@@ -122,3 +122,36 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
     return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected,
                       n_features=width, size=size, tfidf=w, assembled=assembled, postings=post,
                       persisted=[assembled, post] + ([selected] if selected is not None else []))
+
+
+def transform_texts(docs: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(),
+                    cues: DataFrame | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+    """Features of new texts with a stored fit (raw-text scoring mode):
+    ``docs`` = ``(doc_id, text)``; terms outside the stored vocabulary are
+    dropped, idf and selection come from the store. Returns packed rows
+    ``(doc_id, features)`` of the stored width."""
+    import json
+    import os
+
+    from ..operators.assemble import pack
+    spark = docs.sparkSession
+    meta = json.loads(spark.read.text(os.path.join(path, "_manifest")).first().value)
+    vocab = spark.read.parquet(os.path.join(path, "vocab"))
+    v_size = meta["n_features"] - (len(STAT_COLUMNS) if cfg.use_raw_feats else 0) \
+        - (1 if cfg.use_profanity_ratio and cues is not None else 0)
+    d = docs.withColumn("norm", normalise("text"))
+    p = cfg.tfidf
+    d_w = word_tokens(d, "norm", p, lemmas).repartition("doc_id")
+    d_w = d_w.select("doc_id", "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
+    post = postings(d_w, block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop")))
+    long = weigh(post, vocab).select("doc_id", "idx", "w")
+    width = v_size
+    if cfg.use_raw_feats:
+        long = long.unionByName(dense_block_long(raw_text_stats(d, "text", ("doc_id",)), STAT_COLUMNS, width))
+        width += len(STAT_COLUMNS)
+    if cfg.use_profanity_ratio and cues is not None:
+        pr = profanity_ratio(d.select("doc_id", "norm"), cues, "norm")
+        long = long.unionByName(dense_block_long(pr, ["profanity_ratio"], width))
+    if cfg.selection:
+        long = project(long, spark.read.parquet(os.path.join(path, "selected")))
+    return pack(long, docs.select("doc_id"), meta["size"])
