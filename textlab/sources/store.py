@@ -3,9 +3,11 @@
 A dataset lives under ``<base>/<signature>/``: ``features`` (packed sparse
 vectors, partitioned by ``split`` so a split is read by partition pruning),
 ``vocab``, ``selected`` and last the ``_manifest`` (one JSON line). The
-signature is the md5 of the canonical JSON of all parameters and an
-order-free content signature of every input table, so a changed input or
-parameter can never load stale features.
+signature is the md5 of the canonical JSON of all parameters and, per input,
+the path/size/modification time of its files (metadata only: checking the
+store never reads the corpus) or, for inputs not backed by files, an
+order-free content signature. A changed input file or parameter can never
+load stale features.
 """
 
 from __future__ import annotations
@@ -39,8 +41,26 @@ def md5_prefix_signature(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sum(pre.cast("long")).alias("md5_sum"))
 
 
+def file_signature(df: DataFrame) -> dict | None:
+    """Signature of the files behind a scan: path, size and modification
+    time of each (metadata only, no data read), or None when ``df`` is not
+    a plain file scan."""
+    files = sorted(df.inputFiles())
+    if not files:
+        return None
+    meta = (df.sparkSession.read.format("binaryFile").load(files)
+            .select("path", "length", "modificationTime").collect())
+    listing = sorted((r.path, int(r.length), str(r.modificationTime)) for r in meta)
+    return {"files": len(listing), "md5": hashlib.md5(canonical_json(listing).encode("utf-8")).hexdigest()}
+
+
+def input_signature(df: DataFrame) -> dict:
+    """File metadata when ``df`` reads files, else the content signature."""
+    return file_signature(df) or content_signature(df)
+
+
 def signature(params: dict, inputs: dict[str, DataFrame]) -> dict:
-    sig = {"params": params, "inputs": {k: content_signature(v) for k, v in sorted(inputs.items())}}
+    sig = {"params": params, "inputs": {k: input_signature(v) for k, v in sorted(inputs.items())}}
     sig["hash"] = hashlib.md5(canonical_json(sig).encode("utf-8")).hexdigest()
     return sig
 
