@@ -243,6 +243,8 @@ def q_auc_summary(spark, sf):
 
 
 # ------------------------------------------------------- TF-IDF and chi2
+from dataclasses import replace  # noqa: E402
+
 from .feature_sql import feature_ctes  # noqa: E402
 from .features import FeatureConfig, build_features  # noqa: E402
 from ..sources.io import lemma_frame  # noqa: E402
@@ -252,8 +254,11 @@ FEAT_CFG = FeatureConfig(seed=SEED, k_best=K_BEST, rank_digits=D)
 FEAT_CTES = feature_ctes(LAB_Q, SEED, LEMMAS, LEXICON_WORDS, K_BEST)
 
 
-def _features(spark, sf):
-    return build_features(read_labelled(spark, sf), FEAT_CFG, cues_frame(spark, LEXICON_WORDS),
+def _features(spark, sf, selection: bool = True):
+    """The feature job; queries that read only blocks upstream of the chi2
+    selection skip it (their output does not depend on it)."""
+    cfg = FEAT_CFG if selection else replace(FEAT_CFG, selection=False)
+    return build_features(read_labelled(spark, sf), cfg, cues_frame(spark, LEXICON_WORDS),
                           lemma_frame(spark, LEMMAS))
 
 
@@ -263,7 +268,7 @@ def _block_df(block):
 
 def _spark_block_df(spark, sf, block):
     from ..operators.tfidf import document_frequencies
-    fs = _features(spark, sf)
+    fs = _features(spark, sf, selection=False)
     v = fs.vocab.where(F.col("block") == block).select("term")
     # df and ttf over the train postings of the fitted vocabulary's block
     post = fs.postings.where(F.col("split") == "train")
@@ -282,17 +287,17 @@ def q_char_ngrams_df(spark, sf):
 
 @query("vocab_index", f"WITH {FEAT_CTES} SELECT block, term, CAST(idx AS BIGINT) AS idx, df, round(idf, {D}) AS idf FROM vocab")
 def q_vocab_index(spark, sf):
-    return _features(spark, sf).vocab.select("block", "term", "idx", "df", rnd("idf"))
+    return _features(spark, sf, selection=False).vocab.select("block", "term", "idx", "df", rnd("idf"))
 
 
 @query("tfidf_union", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM tfidf")
 def q_tfidf_union(spark, sf):
-    return _features(spark, sf).tfidf.select("doc_id", "idx", rnd("w"))
+    return _features(spark, sf, selection=False).tfidf.select("doc_id", "idx", rnd("w"))
 
 
 @query("assembled_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM feat")
 def q_assembled_features(spark, sf):
-    return _features(spark, sf).assembled.select("doc_id", "idx", rnd("w"))
+    return _features(spark, sf, selection=False).assembled.select("doc_id", "idx", rnd("w"))
 
 
 @query("chi2_topk", f"WITH {FEAT_CTES} SELECT CAST(old_idx AS BIGINT) AS old_idx, CAST(new_idx AS BIGINT) AS new_idx, "

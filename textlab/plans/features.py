@@ -114,14 +114,15 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
     selected, size = None, width
     if cfg.selection:
         priors = class_priors(train)
-        scores = chi2_scores(long.where(F.col("split") == "train"), priors)
+        # one row per feature, read by the quantile cut and the top-k
+        scores = chi2_scores(long.where(F.col("split") == "train"), priors).persist()
         # k rows at most: kept, so the size check and the projection share it
         selected = top_k(scores, min(cfg.k_best, width), digits=cfg.rank_digits).persist()
         long = project(long, selected)
         size = min(cfg.k_best, width)
     return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected,
                       n_features=width, size=size, tfidf=w, assembled=assembled, postings=post,
-                      persisted=[assembled, post] + ([selected] if selected is not None else []))
+                      persisted=[assembled, post] + ([selected, scores] if selected is not None else []))
 
 
 def transform_texts(docs: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(),
