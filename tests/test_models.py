@@ -54,3 +54,18 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert E.entry(spark).count() == 5
+
+
+def test_pa_deterministic_and_learns(spark):
+    from textlab.operators.metrics import auc_summary
+    from textlab.operators.passive_aggressive import PAParams, fit_pa, pa_scores
+    path, meta, _ = feature_store(spark, "/root/testdata/sf0.01")
+    raw = spark.read.parquet(path + "/features")
+    train = raw.where(F.col("split") == "train")
+    w1 = {r.idx: r.w for r in fit_pa(train, meta["size"], PAParams(max_epochs=5)).collect()}
+    w2 = {r.idx: r.w for r in fit_pa(train, meta["size"], PAParams(max_epochs=5)).collect()}
+    assert w1 == w2 and len(w1) > 0
+    s = pa_scores(raw.where(F.col("split") == "train"), fit_pa(train, meta["size"], PAParams(max_epochs=5)),
+                  meta["size"])
+    # separable enough on its own training rows
+    assert auc_summary(s).first().roc_auc > 0.9
