@@ -30,3 +30,16 @@ def test_sorted_index_dense_and_ordered(spark):
     idx = sorted_index(df, ["term"], parts=6)
     rows = sorted((r.term, r.idx) for r in idx.collect())
     assert [i for _, i in rows] == list(range(5000))
+
+
+def test_lemma_join_path_equals_inline(spark, monkeypatch):
+    import textlab.operators.tfidf as tf
+    from textlab.functions.normalize import normalise
+    from textlab.plans.catalog import LEMMAS
+    from textlab.sources.io import lemma_frame, read_labelled
+    d = read_labelled(spark, "/root/testdata/sf0.001").withColumn("norm", normalise("text"))
+    p = tf.TfidfParams()
+    inline = {r.doc_id: r.wtok for r in tf.word_tokens(d, "norm", p, lemma_frame(spark, LEMMAS)).collect()}
+    monkeypatch.setattr(tf, "LEMMA_INLINE_MAX", 0)
+    joined = {r.doc_id: r.wtok for r in tf.word_tokens(d, "norm", p, lemma_frame(spark, LEMMAS)).collect()}
+    assert inline == joined and any("idiot" in t for t in inline.values())
