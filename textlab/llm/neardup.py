@@ -13,10 +13,10 @@ Groups are never expanded into pairs:
 2. a band value or a table key that one class alone has is dropped;
 3. each class is compared with one pivot (the smallest id it shares a table
    bucket with), and links give components;
-4. buckets that still hold several components are compared again: some rounds
-   against one more pivot a bucket, then all pairs of *different* components
-   that were not compared before. So no candidate link between different
-   components is skipped, and a group of copies costs one comparison a class.
+4. classes of buckets that still hold several components are joined exactly
+   by prefix filtering, and confirmed pairs of different components are links.
+   So no candidate link is skipped, and a group of copies costs one comparison
+   a class.
 
 Text handling: A-Z lower-cased, words are runs of non-white-space bytes, a set
 holds 64-bit hashes of the distinct k-word shingles.
@@ -33,17 +33,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.llm.components import connected_components
 from textlab.llm.shared import drop_written, list_array, offsets_of, row_chunks, text_column, written
 from textlab.llm.spans import LOWER, NON_SPACE, grams, mix, span_hash, word_spans
 
-#: Rounds of one more pivot a bucket, before the rest is compared pair by pair.
-PIVOT_ROUNDS = 2
-
-
 def tables_needed(threshold: float, rows: int, recall: float) -> int:
     m = 1
     while (1 - (1 - threshold**rows) ** m) ** 2 < recall:
@@ -138,6 +134,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("p", "r"))
 
 
+def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(p, r): pairs of different components that may reach the threshold, by
+    prefix filtering (Chaudhuri et al., 2006) with positions (Xiao et al., 2008).
+
+    Every set is ordered by the same order, rare shingles first. Two sets that
+    reach the threshold share a shingle among the first n - ceil(t n) + 1 of
+    each, and what follows the first such place must suffice for the overlap.
+    Copies of one text differ in rare shingles, which come first, so a group of
+    them does not meet in its common ones. No pair that is a link is lost."""
+    shingles = open_.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select(
+        "rep", "component", F.size("s").alias("n"), F.explode("s").alias("x"))
+    held = shingles.groupBy("x").agg(F.count("*").alias("d"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("d", "x"))  # within one document
+    least = F.floor((percent * F.col("n") + 99) / 100)
+    prefix = (shingles.join(held, "x").withColumn("i", place)
+              .where((F.col("i") <= F.col("n") - least + 1) & (F.col("lo") != F.col("hi")))
+              .select("x", "rep", "component", "n", "i"))
+    a, b = prefix.alias("a"), prefix.alias("b")
+    after = 1 + F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
+    return a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.rep") < F.col("b.rep")) &
+                  (F.col("a.component") != F.col("b.component")) &
+                  (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) &
+                  ((100 + percent) * after >= percent * (F.col("a.n") + F.col("b.n")))).select(
+        F.col("a.rep").alias("p"), F.col("b.rep").alias("r")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, recall: float = 0.999,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id (the smallest doc_id
@@ -167,35 +189,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
 
     wanted = written(met.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
     sets = written(full_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
-    compared = first
     links = written(_confirmed(first, sets, percent), "links")
-    open_keys = keyed.join(pivot.select("key"), "key", "left_semi")
-    for turn in range(PIVOT_ROUNDS + 1):
-        group = connected_components(links, "p", "r")
-        state = open_keys.join(group.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        split = state.groupBy("key").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "rep").alias("o"), "rep", "n", "component")).alias("p")).where("lo <> hi")
-        state = written(state.join(split.select("key", "p"), "key"), "open")
-        open_keys = state.select("key", "rep", "n")
-        if turn < PIVOT_ROUNDS:
-            more = state.where((F.col("p.component") != F.col("component")) & fits).select(
-                F.least("rep", "p.rep").alias("p"), F.greatest("rep", "p.rep").alias("r"))
-        else:
-            x, y = state.alias("x"), state.alias("y")
-            more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) &
-                          (F.col("x.component") != F.col("y.component")) &
-                          (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))).select(
-                F.col("x.rep").alias("p"), F.col("y.rep").alias("r"))
-        more = written(more.distinct().join(compared, ["p", "r"], "left_anti"), "pairs")
-        if more.isEmpty():
-            if state.isEmpty():
-                break
-            continue
-        compared = compared.union(more)
-        links = written(links.union(_confirmed(more, sets, percent)), "links")
     group = connected_components(links, "p", "r")
+
+    # Classes of buckets that still hold several components: exact join of those, in place of all pairs.
+    state = written(keyed.join(pivot.select("key"), "key", "left_semi").join(
+        group.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component")), "state")
+    split = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    open_ = state.join(split.select("key"), "key", "left_semi").select("rep", "component").distinct()
+    more = written(_rest(open_, sets, percent), "pairs")
+    links = written(links.union(_confirmed(more, sets, percent)), "links")
+    group = connected_components(links, "p", "r")
+    drop_written(state)
     drop_written(keyed)
     drop_written(sets)
 
