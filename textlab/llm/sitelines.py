@@ -4,8 +4,8 @@ A line is boilerplate of a host if the pages of the host that contain it number
 at least ``min_pages`` and more than ``ratio`` of all pages of the host. Such
 lines are dropped from the pages of that host, and only there.
 
-A line counts once a page; it is compared without surrounding white space, by
-two 64-bit hashes, and only hashes are shuffled. Counts are aggregated map-side
+A line counts once a page; it is compared without surrounding white space, by a
+64-bit hash within its host, and only hashes are shuffled. Counts are aggregated map-side
 before the shuffle, so a host or a line with a third of all rows is no hot
 group. A host has at most (mean lines a page) / ratio boilerplate lines.
 
@@ -27,24 +27,26 @@ from pyspark.sql import functions as F
 from textlab.llm.shared import written
 
 
-def _keys(line: Column) -> Column:
+def _key(line: Column) -> Column:
+    """64-bit hash of the bare line; null if blank."""
     bare = F.trim(F.translate(line, "\t\r\x0b\x0c", "    "))
-    return F.when(bare != "", F.struct(F.xxhash64(bare).alias("h"), F.xxhash64(F.lit(7), bare).alias("g")))
+    return F.when(bare != "", F.xxhash64(bare))
 
 
 def _pages(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """One row a page: id, host and the keys of its distinct lines."""
+    """One row a page: id, host and the keys of its distinct lines (a primitive
+    array, which is made distinct by hashing)."""
     lines = F.split(F.col(text_col), "\n")
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col), F.lit("")).alias("host"),
-                       F.array_distinct(F.filter(F.transform(lines, _keys), lambda k: k.isNotNull())).alias("keys"))
+                       F.array_compact(F.array_distinct(F.transform(lines, _key))).alias("keys"))
 
 
 def boilerplate_lines(docs: DataFrame, ratio: float, min_pages: int, id_col: str, text_col: str,
                       host_col: str) -> DataFrame:
-    """(host, h, g, n_pages, host_pages) of the boilerplate lines."""
+    """(host, h, n_pages, host_pages) of the boilerplate lines."""
     pages = _pages(docs, id_col, text_col, host_col)
     totals = docs.groupBy(F.coalesce(F.col(host_col), F.lit("")).alias("host")).agg(F.count("*").alias("host_pages"))
-    counts = (pages.select("host", F.explode("keys").alias("k")).groupBy("host", "k.h", "k.g")
+    counts = (pages.select("host", F.explode("keys").alias("h")).groupBy("host", "h")
               .agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages))
     part, whole = float(ratio).as_integer_ratio()
     return counts.join(totals, "host").where(
@@ -57,19 +59,19 @@ def drop_site_lines(docs: DataFrame, ratio: float = 0.05, min_pages: int = 5, ma
     the number of lines dropped."""
     boilerplate = written(boilerplate_lines(docs, ratio, min_pages, id_col, text_col, host_col), "sitelines")
     pages = _pages(docs, id_col, text_col, host_col)
-    hits = (pages.select("id", "host", F.explode("keys").alias("k")).select("id", "host", "k.h", "k.g")
-            .join(boilerplate.select("host", "h", "g"), ["host", "h", "g"])
+    hits = (pages.select("id", "host", F.explode("keys").alias("h"))
+            .join(boilerplate.select("host", "h"), ["host", "h"])
             .groupBy(F.col("id").alias("_tl_id"), F.col("host").alias("_tl_host"))
-            .agg(F.collect_set(F.struct("h", "g")).alias("_tl_bad")))
+            .agg(F.collect_set("h").alias("_tl_bad")))
     joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col("_tl_id")) &
                        (F.coalesce(F.col(host_col), F.lit("")) == F.col("_tl_host")), "left").drop("_tl_id", "_tl_host")
-    bad = F.coalesce("_tl_bad", F.array().cast("array<struct<h:bigint,g:bigint>>"))
+    bad = F.coalesce("_tl_bad", F.array().cast("array<bigint>"))
     return _apply(joined.withColumn("_tl_bad", bad), max_loss, text_col)
 
 
 def _apply(joined: DataFrame, max_loss: float, text_col: str) -> DataFrame:
     lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("_tl_bad"), _keys(x)), F.lit(True)))
+    kept = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("_tl_bad"), _key(x)), F.lit(True)))
     hit = F.size("_tl_bad") > 0
     joined = joined.withColumn("_tl_lines", F.when(hit, kept))
     new = F.array_join("_tl_lines", "\n")
