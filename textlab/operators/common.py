@@ -31,11 +31,13 @@ def collect_bounded(df: DataFrame, bound: int, what: str) -> list:
     return rows
 
 
-def spread(df: DataFrame, key: str = "doc_id", factor: int = 2) -> DataFrame:
-    """Hash-partition by ``key`` when the scan yields fewer partitions than
-    the cluster has cores (a parquet file of one row group is one task). A
-    scan already wider than that is left alone: no shuffle at scale."""
+def spread(df: DataFrame, scan: DataFrame | None = None, key: str = "doc_id", factor: int = 2) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when the table scan it comes from (``df``
+    itself by default) has fewer files than the cluster has cores (a parquet
+    file of one row group is one task). Decided from the file listing that the
+    scan holds already: no plan is run. With more files than cores nothing is
+    added: no shuffle at scale."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if len((df if scan is None else scan).inputFiles()) >= want:
         return df
     return df.repartition(want * factor, key)

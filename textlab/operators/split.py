@@ -43,10 +43,15 @@ def fold_ends(m: int, k: int) -> list[int]:
     return [-(-(f + 1) * m // k) for f in range(k - 1)]
 
 
+#: Hex digits of an md5 key.
+KEY_DIGITS = 32
+
+
 def order_statistics(df: DataFrame, key: Column, group: Column,
                      wanted: dict) -> dict:
     """Exact keys at 1-based ranks: ``wanted = {group: [rank, ...]}`` ->
-    ``{(group, rank): key}``. Keys must be unique fixed-width strings."""
+    ``{(group, rank): key}``. Keys are hex strings of ``KEY_DIGITS``; rows with
+    equal keys fall on the same side of a cut."""
     d = df.select(group.alias("g"), key.alias("k"))
     todo = {(g, r): ("", r) for g, ranks in wanted.items() for r in ranks}
     done = {}
@@ -73,7 +78,8 @@ def order_statistics(df: DataFrame, key: Column, group: Column,
                 if not r.b.startswith(p):
                     continue
                 if seen + r.n >= resid:
-                    if r.n == 1:
+                    # Rows that share a whole key (repeated ids) share its rank.
+                    if r.n == 1 or depth >= KEY_DIGITS:
                         done[(g, rank)] = r.kmin
                     else:
                         nxt[(g, rank)] = (r.b, resid - seen)

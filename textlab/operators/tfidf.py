@@ -60,7 +60,9 @@ def lemmatize(df: DataFrame, tok_col: str, lemmas: DataFrame | None, key: str =
     """
     if lemmas is None:
         return df.withColumn(out, F.col(tok_col))
-    changing = lemmas.where(F.col("form") != F.col("lemma")).select("form", "lemma")
+    # A form listed twice takes its smallest lemma, on either path.
+    changing = (lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
+                .where(F.col("form") != F.col("lemma")).select("form", "lemma"))
     if row_count_at_most(changing, LEMMA_INLINE_MAX) is not None:
         pairs = collect_bounded(changing, LEMMA_INLINE_MAX, "lemma table")
         if not pairs:

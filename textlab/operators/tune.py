@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from .models import ModelSpec, _weight_sql, class_weights, make_pipeline
 
@@ -24,7 +26,8 @@ from .models import ModelSpec, _weight_sql, class_weights, make_pipeline
 SPACES = {
     "logreg": {"C": ("log", 1e-3, 1e1), "penalty": ("cat", ["l1", "l2"]),
                "class_weight": ("cat", [None, "balanced"]), "tol": ("log", 1e-6, 1e-2)},
-    "lsvc": {"C": ("log", 1e-3, 1e1), "loss": ("cat", ["hinge", "squared_hinge"]),
+    # The squared hinge is left out: the estimator here fits the hinge only.
+    "lsvc": {"C": ("log", 1e-3, 1e1), "loss": ("cat", ["hinge"]),
              "class_weight": ("cat", [None, "balanced"]), "tol": ("log", 1e-6, 1e-2)},
     "pac": {"C": ("log", 1e-3, 1e1), "loss": ("cat", ["hinge", "squared_hinge"]),
             "average": ("cat", [False, True, 10, 50, 100]), "tol": ("log", 1e-5, 1e-2)},
@@ -81,7 +84,10 @@ def cv_search(train: DataFrame, base: ModelSpec, n_iter: int = 15, seed: int = 1
     results = spark.createDataFrame(
         [(i, json.dumps(c, sort_keys=True), float(a)) for i, (c, a) in enumerate(zip(cands, avg))],
         "candidate int, params string, mean_f1 double")
-    return model.bestModel, {"best_score_cv": avg[best], "best_params": cands[best]}, results
+    # The search scales the penalty by a fold's rows; the refit uses all of them.
+    spec = base.with_params(cands[best])
+    refit = make_pipeline(spec, n, weights if spec.class_weight == "balanced" else None, label).fit(train)
+    return refit, {"best_score_cv": avg[best], "best_params": cands[best]}, results
 
 
 def save_best_params(spark: SparkSession, best: dict, path: str) -> None:
@@ -91,17 +97,16 @@ def save_best_params(spark: SparkSession, best: dict, path: str) -> None:
 
 
 def load_best_params(spark: SparkSession, path: str) -> dict | None:
-    """Saved best parameters, or None when absent; an unreadable file is
-    reported and ignored (the estimator keeps its defaults)."""
-    import warnings
+    """The parameters that ``save_best_params`` wrote to ``path``; None if there
+    is no such path. A file that does not hold them raises ValueError."""
     try:
-        rows = spark.read.text(path).collect()
-    except Exception:  # noqa: BLE001 - absent
-        return None
-    try:
-        data = json.loads(rows[0].value)
-        params = data.get("best_params") or data
-        return params if isinstance(params, dict) else None
-    except Exception as e:  # noqa: BLE001
-        warnings.warn(f"Could not read best params at {path}: {e}")
-        return None
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    fields = lines.select(F.from_json("value", "best_score_cv double, best_params string").alias("j")).select("j.*")
+    kept = [r.best_params for r in fields.where("best_params is not null").limit(2).collect()]
+    if len(kept) != 1:
+        raise ValueError(f"{path} holds {len(kept) or 'no'} parameter rows; one was written")
+    return json.loads(kept[0])

@@ -35,7 +35,7 @@ def read_labelled(spark: SparkSession, sf_dir: str, label: str = "toxic") -> Dat
     when the label side turns out small at run time, else a sort-merge join."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("int").alias("label"))
-    return spread(docs.join(labels, "doc_id", "inner").select("doc_id", "text", "label"))
+    return spread(docs.join(labels, "doc_id", "inner").select("doc_id", "text", "label"), docs)
 
 
 def read_labelled_csv(spark: SparkSession, path: str, text_col: str = "text",
@@ -114,4 +114,4 @@ def read_lemma_table(spark: SparkSession, path: str, sep: str = "\t") -> DataFra
     """Two-column ``form<sep>lemma`` file."""
     return (spark.read.option("sep", sep).schema("form string, lemma string").csv(path)
             .where(F.col("form").isNotNull() & F.col("lemma").isNotNull())
-            .dropDuplicates(["form"]))
+            .groupBy("form").agg(F.min("lemma").alias("lemma")))

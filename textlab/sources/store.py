@@ -3,11 +3,9 @@
 A dataset lives under ``<base>/<signature>/``: ``features`` (packed sparse
 vectors, partitioned by ``split`` so a split is read by partition pruning),
 ``vocab``, ``selected`` and last the ``_manifest`` (one JSON line). The
-signature is the md5 of the canonical JSON of all parameters and, per input,
-the path/size/modification time of its files (metadata only: checking the
-store never reads the corpus) or, for inputs not backed by files, an
-order-free content signature. A changed input file or parameter can never
-load stale features.
+signature covers all parameters and the content of the rows that the job
+uses (columns, filters, labels and texts), so stored features of other data,
+another label column or other parameters are never loaded.
 """
 
 from __future__ import annotations
@@ -22,16 +20,18 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.assemble import vector_schema
 
 
-def canonical_json(obj) -> str:
-    return json.dumps(obj, sort_keys=True, separators=(",", ":"), default=str)
+def one_line(obj) -> str:
+    """JSON on one line, keys in order."""
+    return json.dumps(obj, sort_keys=True, default=str)
 
 
 def content_signature(df: DataFrame) -> dict:
-    """Order-free signature of a table: row count and XOR of row hashes
-    (one global aggregation, partial per partition)."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    r = df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("x")).first()
-    return {"rows": int(r.n), "xor": int(r.x or 0)}
+    """Order-free signature of the rows a job uses: their number, and sum and
+    XOR of a 64-bit hash of all columns (one aggregation, three numbers)."""
+    rows = df.select(F.xxhash64(*[F.col(c) for c in df.columns]).alias("h"))
+    r = rows.agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"),
+                 F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return {"columns": df.columns, "rows": int(r.n), "xor": int(r.x or 0), "sum": str(r.s or 0)}
 
 
 def md5_prefix_signature(df: DataFrame, col: str) -> DataFrame:
@@ -41,28 +41,14 @@ def md5_prefix_signature(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sum(pre.cast("long")).alias("md5_sum"))
 
 
-def file_signature(df: DataFrame) -> dict | None:
-    """Signature of the files behind a scan: path, size and modification
-    time of each (metadata only, no data read), or None when ``df`` is not
-    a plain file scan."""
-    files = sorted(df.inputFiles())
-    if not files:
-        return None
-    meta = (df.sparkSession.read.format("binaryFile").load(files)
-            .select("path", "length", "modificationTime").collect())
-    listing = sorted((r.path, int(r.length), str(r.modificationTime)) for r in meta)
-    return {"files": len(listing), "md5": hashlib.md5(canonical_json(listing).encode("utf-8")).hexdigest()}
-
-
-def input_signature(df: DataFrame) -> dict:
-    """File metadata when ``df`` reads files, else the content signature."""
-    return file_signature(df) or content_signature(df)
-
-
 def signature(params: dict, inputs: dict[str, DataFrame]) -> dict:
-    sig = {"params": params, "inputs": {k: input_signature(v) for k, v in sorted(inputs.items())}}
-    sig["hash"] = hashlib.md5(canonical_json(sig).encode("utf-8")).hexdigest()
-    return sig
+    """All parameters and the content of every input, and one key of them."""
+    contents = {name: content_signature(df) for name, df in inputs.items()}
+    digest = hashlib.sha256()
+    for kind, part in (("param", params), ("input", contents)):
+        for name in sorted(part):
+            digest.update(f"{kind} {name} {one_line(part[name])}\n".encode())
+    return {"params": params, "inputs": contents, "hash": digest.hexdigest()[:40]}
 
 
 def _read_manifest(spark: SparkSession, path: str) -> dict | None:
@@ -81,7 +67,7 @@ def save_feature_set(fs, path: str, sig: dict) -> None:
     if fs.selected is not None:
         fs.selected.write.mode("overwrite").parquet(os.path.join(path, "selected"))
     meta = dict(sig, n_features=fs.n_features, size=fs.size)
-    spark.createDataFrame([(canonical_json(meta),)], "value string").coalesce(1).write.mode(
+    spark.createDataFrame([(one_line(meta),)], "value string").coalesce(1).write.mode(
         "overwrite").text(os.path.join(path, "_manifest"))
 
 
