@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -98,6 +99,28 @@ def test_licenses(documents):
     assert got == [(1, 1, "MIT"), (2, 0, "CC-BY-NC-4.0")]
 
 
+def test_licenses_against_brute_force(documents):
+    """Notices with words lost, added and exchanged, lone or inside a text; every unit that reaches the threshold is found."""
+    rng = random.Random(11)
+    texts = []
+    for _, notice in licenses.TEMPLATES:
+        for d in (0, 1, 1, 2, 3, 5, 9):
+            words = edited(rng, notice.split(), min(d, len(notice.split())))
+            texts += [" ".join(words).upper() if d == 1 else " ".join(words), f"{prose(rng, 9)}\n{' '.join(words)}\n\n{prose(rng, 9)}"]
+    known = [(name, set(licenses.template_bigrams(t))) for name, t in licenses.TEMPLATES]
+    want = set()
+    for i, text in enumerate(texts):
+        units = list(dict.fromkeys(text.split("\n") + (re.split(r"\n[ \t]*\n\s*", text) if "\n\n" in text else []) + [text]))
+        for k, unit in enumerate(units):
+            own = set(licenses.template_bigrams(unit))
+            fits = [(-Fraction(2 * len(own & g), len(own) + len(g)), name) for name, g in known
+                    if 10 * len(own & g) >= 4 * (len(own) + len(g))]
+            if fits:
+                want.add((i, k, min(fits)[1]))
+    got = rows_of(licenses.scan_licenses(documents([(i, t, "s") for i, t in enumerate(texts)])), "doc_id", "unit", "license")
+    assert len(want) > 50 and got == sorted(want, key=repr)
+
+
 def naive_distance(x, y):
     prev = list(range(len(y) + 1))
     for i, a in enumerate(x, 1):

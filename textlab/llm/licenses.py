@@ -5,7 +5,9 @@ whole. Each unit and each template is normalised to lower-case words; the score
 is 2 |A n B| / (|A| + |B|) over the sets of word bigrams. Two exact bounds spare
 work: a unit can reach the threshold t with a template of b bigrams only if its
 own bigrams number between b t / (2 - t) and b (2 - t) / t, and only if it shares
-at least b t / (2 - t) of them.
+at least b t / (2 - t) of them. From the second follows a third, checked on the
+lower-case text before anything is normalised: a unit must hold certain words of
+a template (``anchors``), or too many of its bigrams are missing.
 
 Nulls: a null or empty text has no unit and gives no row. Long texts are taken
 whole. Of equal units of a text the first is reported once; a tie between
@@ -18,8 +20,10 @@ from __future__ import annotations
 import math
 import re
 from fractions import Fraction
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Notices of well-known licences, in normal form apart from case.
@@ -48,29 +52,60 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
 )
 
+#: Words of nearly every text: anchors only where no others do. They change no result.
+COMMON = frozenset("a an and any are as at by for in is it may not of on or that the this to under with you".split())
+
 
 def template_bigrams(text: str) -> list[str]:
     words = re.findall(r"[^\W_]+", text.lower())
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def anchors(grams: list[str], need: int) -> tuple[list[str], bool]:
+    """(words, all): words of a template of which a unit that shares ``need`` of
+    its bigrams holds all, or else at least one."""
+    pairs = [g.split(" ") for g in grams]
+
+    def left(missing: set[str]) -> int:
+        return sum(not missing & set(p) for p in pairs)
+
+    words = sorted({w for p in pairs for w in p}, key=lambda w: (w in COMMON, -len(w), w))
+    if each := [w for w in words if left({w}) < need]:
+        return each, True
+    some: list[str] = []
+    while left(set(some)) >= need:
+        some.append(words[len(some)])
+    return some, False
+
+
+def holds_anchors(text: Column, wanted: list[tuple[list[str], bool]]) -> Column:
+    """Whether the words of some template are in the text. The lower-case text
+    is bound by ``exists``, so that it is made once for all the comparisons."""
+    return F.exists(F.array(F.lower(text)), lambda low: reduce(or_, [
+        reduce(and_ if every else or_, [F.contains(low, F.lit(w)) for w in words]) for words, every in wanted]))
+
+
 def scan_licenses(docs: DataFrame, threshold: float = 0.8, templates=TEMPLATES,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, unit, license, shared, unit_bigrams, template_bigrams, unit_text),
     one row for each unit of a document that reaches the threshold; ``unit`` is
     the number of its first line (0-based), paragraphs after lines after that."""
     t = Fraction(str(threshold))
-    known = [(name, template_bigrams(text)) for name, text in templates]
+    known = [(name, g) for name, text in templates if (g := template_bigrams(text))]
     low, high = t / (2 - t), (2 - t) / t
     least = min(math.ceil(len(g) * low) for _, g in known)
     most = max(math.floor(len(g) * high) for _, g in known)
+    wanted = [anchors(g, math.ceil(len(g) * low)) for _, g in known]
     vocabulary = sorted({b for _, g in known for b in g})
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines, paragraphs = F.split(text, "\n"), F.split(text, r"\n[ \t]*\n\s*")
-    units = (docs.select(F.col(id_col).alias("doc_id"), F.array_distinct(F.concat(
-        lines, F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")),
-        F.array(text))).alias("units"))
-        .select("doc_id", F.posexplode("units").alias("unit", "unit_text"))
+    distinct = F.array_distinct(F.concat(
+        lines, F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>")), F.array(text)))
+    numbered = F.transform(distinct, lambda u, i: F.struct(i.alias("unit"), u.alias("unit_text")))
+    units = (docs.where(holds_anchors(text, wanted))
+        .select(F.col(id_col).alias("doc_id"),
+                F.explode(F.filter(numbered, lambda x: holds_anchors(x["unit_text"], wanted))).alias("u"))
+        .select("doc_id", "u.unit", "u.unit_text")
         # A bigram has at least three characters and a space at most follows each.
         .where(F.length("unit_text") >= 4 * least - 1))
     # Words lie between single separators after normalising, so counting them first prunes by size cheaply.
