@@ -69,3 +69,34 @@ def test_pa_deterministic_and_learns(spark):
                   meta["size"])
     # separable enough on its own training rows
     assert auc_summary(s).first().roc_auc > 0.9
+
+
+def test_squared_hinge_reaches_the_minimum(spark):
+    """The gradient of the stated objective, written out in NumPy, vanishes at the fit."""
+    import numpy as np
+    from textlab.operators.squared_hinge import fit_squared_hinge
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 7)) < 0.5, rng.normal(size=(60, 7)), 0.0)
+    y = (x[:, 0] - x[:, 1] + 0.3 * rng.normal(size=60) > 0).astype(int)
+    x[0] = 0.0  # a row without features
+    rows = [(([int(j) for j in np.nonzero(r)[0]], [float(v) for v in r[r != 0]]), int(t)) for r, t in zip(x, y)]
+    df = spark.createDataFrame(rows, "features struct<indices: array<int>, values: array<double>>, label int").repartition(3)
+    for weight in (None, "balanced"):
+        spec = ModelSpec("lsvc", C=0.7, loss="squared_hinge", tol=1e-9, class_weight=weight)
+        w = np.zeros(8)
+        for r in fit_squared_hinge(df, 7, spec).collect():
+            w[r.idx] = r.w
+        s = np.ones(60) if weight is None else 60 / (2 * np.bincount(y))[y]
+        x1, sign = np.c_[x, np.ones(60)], 2 * y - 1
+        grad = w - 2 * 0.7 * x1.T @ (s * sign * np.maximum(0, 1 - sign * (x1 @ w)))
+        assert np.abs(grad).max() < 1e-6 and np.abs(w).max() > 0.1
+    assert fit_squared_hinge(df.limit(0), 7).count() == 0
+
+
+def test_passive_aggressive_does_not_follow_the_cores(spark):
+    from textlab.operators.passive_aggressive import PAParams, fit_pa
+    df = spark.createDataFrame([(i, i % 2, ([i % 2, 2], [1.0, 0.5])) for i in range(40)],
+                               "doc_id long, label int, features struct<indices: array<int>, values: array<double>>")
+    fits = [{r.idx: r.w for r in fit_pa(df.repartition(n), 3, PAParams(average=a)).collect()}
+            for n, a in ((1, False), (7, False), (1, 10), (7, 10))]
+    assert fits[0] == fits[1] and fits[2] == fits[3] and fits[0][1] > 0 > fits[0][0]

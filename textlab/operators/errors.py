@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SNIPPET_CHARS = 240
 ELLIPSIS = "…"
+#: Rows of six numbers that are broadcast at most, twice (both kinds of error).
+BROADCAST_K = 100_000
 
 
 def default_threshold(model_name: str) -> float:
@@ -24,7 +26,7 @@ def error_samples(scored: DataFrame, texts: DataFrame, threshold: float, k: int
     """``(kind, y_true, y_pred, score, idx, text, snippet)``: per kind
     (``fp``/``fn``) the k rows with the largest ``|score - threshold|``, ties
     by key. Each top-k is a bounded TakeOrderedAndProject; only those 2k
-    rows meet the texts (broadcast)."""
+    rows meet the texts (broadcast up to ``BROADCAST_K``, else a plain join)."""
     s = scored.select(F.col(key).alias("idx"), F.col(label).cast("int").alias("y_true"),
                       F.col(score).cast("double").alias("score"))
     s = s.withColumn("y_pred", (F.col("score") >= threshold).cast("int"))
@@ -37,5 +39,5 @@ def error_samples(scored: DataFrame, texts: DataFrame, threshold: float, k: int
         parts.append(top)
     top = parts[0].unionByName(parts[1])
     t = texts.select(F.col(key).alias("idx"), F.col("text"))
-    return (t.join(F.broadcast(top), "idx", "inner")
+    return (t.join(F.broadcast(top) if k <= BROADCAST_K else top, "idx", "inner")
             .select("kind", "y_true", "y_pred", "score", "idx", "text", snippet("text").alias("snippet")))

@@ -408,6 +408,30 @@ def q_pa_scores(spark, sf):
     return pa_scores(raw.where(F.col("split") == "test"), weights, manifest["size"])
 
 
+from ..operators.errors import default_threshold  # noqa: E402
+from ..operators.squared_hinge import fit_squared_hinge  # noqa: E402
+
+
+def squared_hinge_scores(spark, sf, split: str = "test"):
+    """Margins of the squared-hinge SVM fitted on the train split."""
+    path, manifest, _ = feature_store(spark, sf)
+    raw = spark.read.parquet(path + "/features")
+    weights = fit_squared_hinge(raw.where(F.col("split") == "train"), manifest["size"])
+    return pa_scores(raw.where(F.col("split") == split), weights, manifest["size"])
+
+
+@query("svm_squared_scores")
+def q_svm_squared_scores(spark, sf):
+    return squared_hinge_scores(spark, sf)
+
+
+@query("model_errors")
+def q_model_errors(spark, sf):
+    """The surest wrong decisions of the squared-hinge SVM on the val split."""
+    return error_samples(squared_hinge_scores(spark, sf, "val"), read_labelled(spark, sf),
+                         default_threshold("lsvc"), ERR_K)
+
+
 from ..operators.tune import cv_search  # noqa: E402
 
 CV_ITER = 2
