@@ -1,12 +1,15 @@
 """Content signatures, repeated keys, repeated lemma forms, saved parameters."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from textlab.operators import tfidf
+from textlab.operators import tfidf, tune
 from textlab.operators.models import ModelSpec, make_pipeline
 from textlab.operators.split import order_statistics
 from textlab.operators.tune import candidates, load_best_params
+from textlab.sources.io import read_lexicon
 from textlab.sources.store import signature
 
 
@@ -41,7 +44,69 @@ def test_best_params_damage_is_an_error(spark, tmp_path):
         load_best_params(spark, str(tmp_path / "p.txt"))
 
 
-def test_squared_hinge_is_refused():
-    assert {c["loss"] for c in candidates("lsvc", 20, 1)} == {"hinge"}
+def test_squared_hinge_has_no_pipeline():
     with pytest.raises(ValueError):
         make_pipeline(ModelSpec("lsvc", loss="squared_hinge"), 10)
+
+
+def _planted(spark):
+    """Sixty rows that feature 0 or 1 decides, in three folds, in both typings."""
+    from textlab.operators.assemble import vector_schema
+    rows = spark.createDataFrame(
+        [(i, i % 2, i % 3, (0, 4, [i % 2, 2 + i % 5 // 3], [1.0, 0.5])) for i in range(60)],
+        "doc_id long, label int, fold int, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>")
+    return rows, vector_schema(rows)
+
+
+def test_search_fits_every_candidate_as_stated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    rows, schema = _planted(spark)
+    rows.write.parquet(path)
+    rows, vectors = spark.read.parquet(path), spark.read.schema(schema).parquet(path)
+    assert {c["loss"] for c in candidates("lsvc", 20, 1)} == {"hinge", "squared_hinge"}
+    seed = next(s for s in range(99) if len({c["loss"] for c in candidates("lsvc", 2, s)}) == 2)
+    losses = []
+    real = tune.fit_squared_hinge
+    monkeypatch.setattr(tune, "fit_squared_hinge", lambda r, n, spec, label: losses.append(spec.loss) or real(r, n, spec, label))
+    for name in ("logreg", "lsvc", "pac"):
+        n = 2 if name == "lsvc" else 1
+        scorer, best, results = tune.cv_search(rows, vectors, 4, ModelSpec(name), n_iter=n, seed=seed, parallelism=6)
+        table = results.collect()
+        assert len(table) == n and best["best_score_cv"] == max(r.mean_f1 for r in table) > 0.9
+        assert all(r.prediction == r.label for r in scorer(rows, vectors).collect())
+        if name == "lsvc":
+            stated = [json.loads(r.params)["loss"] for r in table]
+            again = best["best_params"]["loss"] == "squared_hinge"
+            assert stated.count("squared_hinge") == 1 and len(losses) == 3 + again
+
+
+def test_search_is_skipped_where_parameters_are_saved(spark, tmp_path, monkeypatch):
+    path, folder = str(tmp_path / "rows"), str(tmp_path / "models")
+    rows, schema = _planted(spark)
+    rows.write.parquet(path)
+    rows, vectors = spark.read.parquet(path), spark.read.schema(schema).parquet(path)
+    _, untuned = tune.train(rows, vectors, 4, ModelSpec("pac"), folder)
+    assert untuned == ModelSpec("pac")
+    _, tuned = tune.train(rows, vectors, 4, ModelSpec("pac"), folder, search=True, n_iter=1)
+    assert tuned.C != 1.0 and spark.read.option("header", True).csv(folder + "/pac-candidates").count() == 1
+    monkeypatch.setattr(tune, "cv_search", lambda *a, **k: pytest.fail("searched again"))
+    for search in (True, False):
+        assert tune.train(rows, vectors, 4, ModelSpec("pac"), folder, search=search)[1] == tuned
+    (tmp_path / "models" / "lsvc-best").write_text("damaged\n")
+    with pytest.warns(UserWarning):
+        assert tune.train(rows, vectors, 4, ModelSpec("lsvc"), folder)[1] == ModelSpec("lsvc")
+
+
+def test_latin_tokens_take_the_stem_table(spark):
+    docs = spark.createDataFrame([(1, "caf\u00e9s 3rd na\u00efve \u0434\u0430x")], "doc_id long, norm string")
+    stems = spark.createDataFrame([("cafes", "cafe"), ("rd", "r")], "form string, lemma string")
+    params = tfidf.TfidfParams(latin_only=True)
+    assert tfidf.word_tokens(docs, "norm", params, stems).first()["wtok"] == ["cafe", "r", "naive", "x"]
+
+
+@pytest.mark.parametrize("encoding", ["cp1252", "utf-8", "latin-1", "cp1251", "gbk"])
+def test_lexicon_charsets(spark, tmp_path, encoding):
+    words = {"cp1251": "\u0432\u043e\u043b", "gbk": "\u4e2d\u6587", "latin-1": "caf\u00e9\x81b"}.get(encoding, "caf\u00e9")
+    (tmp_path / "lex.txt").write_bytes(f"{words}\n# no\nplain\n".encode(encoding))
+    read = None if encoding in ("cp1252", "utf-8", "latin-1") else encoding
+    assert {r.cue for r in read_lexicon(spark, str(tmp_path / "lex.txt"), read).collect()} == {words, "plain"}

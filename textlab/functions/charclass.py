@@ -85,7 +85,7 @@ def accent_maps() -> tuple[str, str, str, str]:
       * ``one_from``/``one_to``: characters NFKD changes into exactly one
         non-combining character, and that character;
       * ``drop``: characters NFKD changes into combining marks only, followed by
-        the NFKD-stable combining marks (removed only when a text changes);
+        the NFKD-stable combining marks;
       * ``multi``: characters NFKD expands into two or more characters.
     """
     one_from, one_to, drop_changed, marks, multi = [], [], [], [], []
@@ -109,22 +109,6 @@ def accent_maps() -> tuple[str, str, str, str]:
     return "".join(one_from), "".join(one_to), "".join(drop_changed + marks), "".join(multi)
 
 
-@functools.cache
-def changing_chars() -> str:
-    """Characters whose NFKD form differs from themselves."""
-    one_from, _, drop, multi = accent_maps()
-    marks_stable = {ch for ch in drop if unicodedata.normalize("NFKD", ch) == ch}
-    return one_from + "".join(ch for ch in drop if ch not in marks_stable) + multi
-
-
-def strip_accents_py(s: str) -> str:
-    """Python statement of the accent rule, used by the Arrow fallback."""
-    n = unicodedata.normalize("NFKD", s)
-    if n == s:
-        return s
-    return "".join(c for c in n if not unicodedata.combining(c))
-
-
 def sql_literal(s: str) -> str:
     """Quote a Python string as an ANSI SQL literal."""
     return "'" + s.replace("'", "''") + "'"

@@ -12,8 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .charclass import (WORD_CLASS, accent_maps, changing_chars, non_ws_class,
-                        sql_literal, ws_class)
+from .charclass import WORD_CLASS, accent_maps, non_ws_class, ws_class
 
 # The reference's regular expressions (Python syntax), kept as
 # plain text; the Spark and DuckDB spellings below are derived from them.
@@ -98,16 +97,19 @@ def letter_tokens(c) -> Column:
     return F.filter(word_runs(c), lambda t: t.rlike(r"^\p{L}+$"))
 
 
+def latin_tokens(c) -> Column:
+    """``re.findall('[A-Za-z]+', t)``: the token rule of the stem lookup."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_extract_all(c, F.lit(f"({ALPHA_RUN_RE})"), 1)
+
+
 def _strip_accents_arrow():
     """Arrow-batched fallback, built as a closure so it ships by value (the
     workers need no copy of this package)."""
     import unicodedata
 
     def strip(x):
-        if x is None:
-            return None
-        n = unicodedata.normalize("NFKD", x)
-        return x if n == x else "".join(c for c in n if not unicodedata.combining(c))
+        return None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
 
     def batch(s: pd.Series) -> pd.Series:
         return s.map(strip)
@@ -115,24 +117,9 @@ def _strip_accents_arrow():
     return F.pandas_udf(batch, T.StringType())
 
 
-def _accent_parts(x: Column) -> tuple[Column, Column, Column]:
-    one_from, one_to, drop, multi = accent_maps()
-    changes = F.length(F.translate(x, changing_chars(), "")) < F.length(x)
-    has_multi = F.length(F.translate(x, multi, "")) < F.length(x)
-    native = F.when(~changes, x).otherwise(F.translate(x, one_from + drop, one_to))
-    return changes & has_multi, native, x
-
-
-def strip_accents_native(c) -> Column:
-    """The accent rule for every text without a character that NFKD expands
-    into several (exact for those; see :func:`with_stripped_accents`)."""
-    _, native, _ = _accent_parts(_text(c))
-    return native
-
-
 def with_stripped_accents(df: DataFrame, c: str, out: str) -> DataFrame:
-    """sklearn ``strip_accents='unicode'``: NFKD then drop combining marks,
-    only when NFKD changes the text at all.
+    """sklearn ``strip_accents='unicode'``: NFKD of any text with a non-ASCII
+    character, then no combining marks, whether NFKD made them or found them.
 
     Characters that map to one character (or none) go through one native
     ``translate``. Only rows holding a character NFKD expands into several
@@ -141,7 +128,11 @@ def with_stripped_accents(df: DataFrame, c: str, out: str) -> DataFrame:
     Python side sees near-empty batches. (A filter + union would be pushed
     below any repartition into the scan and serialise the text work.)
     """
-    needs, native, x = _accent_parts(_text(c))
+    one_from, one_to, drop, multi = accent_maps()
+    x = _text(c)
+    ascii_only = F.octet_length(x) == F.length(x)
+    needs = ~ascii_only & (F.length(F.translate(x, multi, "")) < F.length(x))
+    native = F.when(ascii_only, x).otherwise(F.translate(x, one_from + drop, one_to))
     d = df.withColumn("needs__", needs)
     d = d.withColumn("rare__", _strip_accents_arrow()(F.when(F.col("needs__"), x)))
     return (d.withColumn(out, F.when(F.col("needs__"), F.col("rare__")).otherwise(native))
@@ -210,8 +201,6 @@ def letter_tokens_sql(e: str) -> str:
 
 
 def strip_accents_sql(e: str) -> str:
-    """Native part of the accent rule (texts without multi-character
-    expansions, which is every text of the test tables)."""
-    one_from, one_to, drop, _ = accent_maps()
-    return (f"CASE WHEN length(translate({e}, {sql_literal(changing_chars())}, '')) < length({e}) "
-            f"THEN translate({e}, {sql_literal(one_from + drop)}, {sql_literal(one_to)}) ELSE {e} END")
+    """DuckDB's own accent strip: equal on texts without characters that only
+    compatibility decomposition changes, which is every text of the test tables."""
+    return f"strip_accents({e})"

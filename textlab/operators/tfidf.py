@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.ngrams import char_ngrams, word_ngrams
-from ..functions.normalize import default_word_tokens, lemma_input, letter_tokens, with_stripped_accents
+from ..functions.normalize import default_word_tokens, latin_tokens, lemma_input, letter_tokens, with_stripped_accents
 from ..session import cut_lineage
 from .common import BROADCAST_MAX_ROWS, collect_bounded, row_count_at_most, sized_broadcast
 
@@ -38,6 +38,7 @@ class TfidfParams:
     max_features_word: int | None = None
     max_features_char: int | None = None
     use_lemmatizer: bool = True
+    latin_only: bool = False       # lookup tokens are runs of A-Z and a-z, for a table of stems
 
     def min_df(self, block: int) -> int:
         return self.min_df_word if block == WORD else self.min_df_char
@@ -84,11 +85,12 @@ def lemmatize(df: DataFrame, tok_col: str, lemmas: DataFrame | None, key: str =
 def word_tokens(df: DataFrame, norm_col: str, params: TfidfParams, lemmas: DataFrame | None,
                 key: str = "doc_id", out: str = "wtok") -> DataFrame:
     """Word-block tokens of normalised text. With the lemma tokenizer: accent
-    strip, normalise again, alphabetic word runs, lemma lookup, lower-case.
+    strip, normalise again, alphabetic word runs (or runs of A-Z and a-z), lemma
+    or stem lookup, lower-case.
     Without: accent strip, word runs of two or more characters."""
     d = with_stripped_accents(df, norm_col, "plain__")
     if params.use_lemmatizer:
-        d = d.withColumn("wraw__", letter_tokens(lemma_input("plain__")))
+        d = d.withColumn("wraw__", (latin_tokens if params.latin_only else letter_tokens)(lemma_input("plain__")))
         return lemmatize(d, "wraw__", lemmas, key, out).drop("wraw__", "plain__")
     return d.withColumn(out, default_word_tokens("plain__")).drop("plain__")
 

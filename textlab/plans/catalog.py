@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.charclass import sql_literal
-from ..functions.normalize import alpha_tokens_sql, normalise, normalise_ctes
+from ..functions.normalize import alpha_tokens_sql, normalise, normalise_ctes, with_stripped_accents
 from ..functions.stats import STAT_COLUMNS, raw_text_stats, raw_text_stats_sql
 from ..operators.lexicon import lexicon_flag, profanity_ratio
 from ..operators.metrics import (auc_summary, average_precision, class_report, confusion,
@@ -80,6 +80,14 @@ def q_raw_text_stats(spark, sf):
     return s.select("doc_id", *[rnd(c) for c in STAT_COLUMNS])
 
 
+@query("accent_fold",
+       "SELECT doc_id, md5(strip_accents(coalesce(text, ''))) AS plain_md5, "
+       "length(strip_accents(coalesce(text, ''))) AS plain_len FROM documents")
+def q_accent_fold(spark, sf):
+    d = with_stripped_accents(spread(table(spark, sf, "documents")), "text", "plain")
+    return d.select("doc_id", F.md5("plain").alias("plain_md5"), F.length("plain").alias("plain_len"))
+
+
 # --------------------------------------------------------------- lexicon
 def _flag_sql(words, phrases) -> str:
     hit = []
@@ -141,6 +149,14 @@ def q_split_counts(spark, sf):
     return s.groupBy("split", "label").agg(F.count("*").alias("n"))
 
 
+@query("stratified_folds",
+       f"WITH s AS ({split_sql(LAB_SUB, SEED)}) "
+       "SELECT fold, label, count(*) AS n FROM s WHERE split = 'train' GROUP BY fold, label")
+def q_stratified_folds(spark, sf):
+    s = stratified_split(read_labelled(spark, sf), seed=SEED).where(F.col("split") == "train")
+    return s.groupBy("fold", "label").agg(F.count("*").alias("n"))
+
+
 # --------------------------------------------------------------- metrics
 BASE_SQL = _flag_sql(LEXICON_WORDS, LEXICON_PHRASES)
 
@@ -437,11 +453,16 @@ from ..operators.tune import cv_search  # noqa: E402
 CV_ITER = 2
 
 
+def train_rows(spark, sf):
+    """The stored train rows in both typings, and the number of features."""
+    path, manifest, _ = feature_store(spark, sf)
+    rows = spark.read.parquet(path + "/features").where(F.col("split") == "train")
+    return rows, load_features(spark, path, "train"), manifest["size"]
+
+
 @query("cv_search")
 def q_cv_search(spark, sf):
-    path, _, _ = feature_store(spark, sf)
-    _, _, results = cv_search(load_features(spark, path, "train"), ModelSpec("logreg"), n_iter=CV_ITER,
-                              seed=SEED, parallelism=2)
+    _, _, results = cv_search(*train_rows(spark, sf), ModelSpec("logreg"), n_iter=CV_ITER, seed=SEED, parallelism=2)
     return results
 
 

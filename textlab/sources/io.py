@@ -3,12 +3,13 @@ metric/CSV sinks."""
 
 from __future__ import annotations
 
+import codecs
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.normalize import strip_ws
-from ..operators.common import spread
+from ..operators.common import sized_broadcast, spread
 
 LABELLED_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType(), False),
@@ -20,8 +21,8 @@ LABELLED_SCHEMA = T.StructType([
 # only on \n, \r and \r\n.
 _EXTRA_LINE_BREAKS = "[\\x{b}\\x{c}\\x{1c}-\\x{1e}\\x{85}\\x{2028}\\x{2029}]"
 
-# A lexicon file in a non-UTF-8 charset is decoded whole in one task and its
-# lines pass through the driver; this bounds its size.
+# A lexicon file in a charset of several bytes a character that is not UTF-8 is
+# decoded whole in one task and its lines pass through the driver; this bounds it.
 MAX_DECODED_LEXICON_BYTES = 64 << 20
 
 
@@ -65,9 +66,39 @@ def write_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def _lexicon_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    if encoding.lower().replace("_", "-") in ("utf-8", "utf8", "utf-8-sig"):
-        return spark.read.text(path).select(F.col("value").alias("line"))
+def _high_half(encoding: str) -> str | None:
+    """Characters of the bytes 0x80 to 0xFF in a charset of one byte a character
+    whose lower half is ASCII; None for any other charset."""
+    low, high = bytes(range(0x80)), [bytes([b]) for b in range(0x80, 0x100)]
+    if low.decode(encoding, "replace") != low.decode("ascii"):
+        return None
+    # A lead byte takes the next one with it.
+    alone = all((c + b"A").decode(encoding, "replace")[1:] == "A" and len((c + c).decode(encoding, "replace")) == 2
+                for c in high)
+    return "".join(c.decode(encoding, "replace") for c in high) if alone else None
+
+
+def _from_bytes(raw: Column, high: str) -> Column:
+    latin1 = "".join(map(chr, range(0x80, 0x100)))
+    return F.translate(F.decode(raw, "ISO-8859-1"), latin1, high)
+
+
+def _lexicon_lines(spark: SparkSession, path: str, encoding: str | None) -> DataFrame:
+    # A text row holds the line's bytes as they are; the cast does not change them.
+    rows = spark.read.text(path).select("value", F.col("value").cast("binary").alias("raw"))
+    if encoding is None:
+        rows = rows.withColumn("file", F.input_file_name())
+        western = _from_bytes(F.col("raw"), _high_half("cp1252"))
+        files = rows.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+                                         F.bool_and(~F.contains(western, F.lit("\ufffd"))).alias("western"))
+        line = (F.when(F.col("utf8"), F.col("value")).when(F.col("western"), western)
+                .otherwise(F.decode("raw", "ISO-8859-1")))
+        return rows.join(sized_broadcast(files), "file").select(line.alias("line"))
+    if codecs.lookup(encoding).name in ("utf-8", "utf-8-sig"):
+        return rows.select(F.col("value").alias("line"))
+    high = _high_half(encoding)
+    if high is not None:
+        return rows.select(_from_bytes(F.col("raw"), high).alias("line"))
     files = spark.read.format("binaryFile").load(path)
     too_big = files.where(F.col("length") > MAX_DECODED_LEXICON_BYTES).limit(1).count()
     if too_big:
@@ -85,9 +116,13 @@ def _lexicon_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     return spark.createDataFrame([(r.line,) for r in rows], "line string")
 
 
-def read_lexicon(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+def read_lexicon(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """One cue per line: strip, lower-case, skip blank and ``#`` lines,
-    de-duplicate. A leading byte-order mark is dropped. Returns ``(cue)``."""
+    de-duplicate. A leading byte-order mark is dropped. Returns ``(cue)``.
+
+    Without ``encoding``, a file that is valid UTF-8 is read so, any other as
+    cp1252 if that defines all its bytes, else as latin-1. Decoding is native,
+    line by line, for UTF-8 and all charsets of one byte a character."""
     lines = _lexicon_lines(spark, path, encoding)
     lines = lines.select(F.explode(F.split(F.regexp_replace("line", "^\ufeff", ""),
                                            _EXTRA_LINE_BREAKS)).alias("line"))
