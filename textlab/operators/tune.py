@@ -4,8 +4,8 @@ Candidates are drawn, seeded, from the reference's search spaces
 (log-uniform C and tol, categorical penalty / loss / class weight / average)
 and fitted on the stored stratified folds, ``parallelism`` fits at a time. Each
 fit takes its penalty and its balanced weights from the rows it is given. A
-candidate's score is its mean F1 of class 1 over the folds; the best is
-refitted on all train rows. The Gaussian-process proposal step of a Bayesian
+candidate's score is its mean F1 of class 1 over the folds; ``train`` refits
+the best on all train rows. The Gaussian-process proposal step of a Bayesian
 search is not reproduced: this is seeded random search.
 """
 
@@ -83,10 +83,10 @@ def fit_scorer(rows: DataFrame, vectors: DataFrame, size: int, spec: ModelSpec,
 
 def cv_search(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, n_iter: int = 15, seed: int = 1337,
               parallelism: int = 4, fold_col: str = "fold", label: str = "label"):
-    """Returns ``(scorer, best, results)``: the refitted best model, its mean F1
-    and parameters, and the table ``(candidate, params, mean_f1)``, which states
-    the loss that each candidate was fitted with. ``rows`` and ``vectors`` are
-    two typings of the train rows (see :func:`fit_scorer`)."""
+    """Returns ``(best, results)``: the best candidate's mean F1 and parameters,
+    and the table ``(candidate, params, mean_f1)``, which states the loss that
+    each candidate was fitted with. ``rows`` and ``vectors`` are two typings of
+    the train rows (see :func:`fit_scorer`); the caller refits."""
     folds = sorted(r[0] for r in rows.select(fold_col).distinct().limit(MAX_FOLDS + 1).collect())
     if not 2 <= len(folds) <= MAX_FOLDS:
         raise ValueError(f"a search takes 2 to {MAX_FOLDS} folds, not {len(folds)}")
@@ -108,8 +108,7 @@ def cv_search(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, n
     results = spark.createDataFrame(
         [(i, json.dumps(c, sort_keys=True), float(a)) for i, (c, a) in enumerate(zip(cands, mean))],
         "candidate int, params string, mean_f1 double")
-    scorer = fit_scorer(rows, vectors, size, base.with_params(cands[best]), label)
-    return scorer, {"best_score_cv": float(mean[best]), "best_params": cands[best]}, results
+    return {"best_score_cv": float(mean[best]), "best_params": cands[best]}, results
 
 
 def train(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, folder: str, search: bool = False,
@@ -129,10 +128,10 @@ def train(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, folde
         saved = None
     spec = base.with_params(saved or {})
     if search and base.name in SPACES and not (skip_if_saved and saved is not None):
-        scorer, best, results = cv_search(rows, vectors, size, spec, n_iter, seed, parallelism)
+        best, results = cv_search(rows, vectors, size, spec, n_iter, seed, parallelism)
         save_best_params(spark, best, best_path)
         write_csv(results, os.path.join(folder, f"{base.name}-candidates"))
-        return scorer, spec.with_params(best["best_params"])
+        spec = spec.with_params(best["best_params"])
     return fit_scorer(rows, vectors, size, spec), spec
 
 

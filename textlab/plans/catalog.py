@@ -462,7 +462,7 @@ def train_rows(spark, sf):
 
 @query("cv_search")
 def q_cv_search(spark, sf):
-    _, _, results = cv_search(*train_rows(spark, sf), ModelSpec("logreg"), n_iter=CV_ITER, seed=SEED, parallelism=2)
+    _, results = cv_search(*train_rows(spark, sf), ModelSpec("logreg"), n_iter=CV_ITER, seed=SEED, parallelism=6)
     return results
 
 
