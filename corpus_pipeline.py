@@ -11,22 +11,24 @@ Every stage keeps rows with a null doc_id or text that its rule does not reject.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textlab.llm import decontaminate, neardup, pieces, sitelines, toxicity
 from textlab.llm.queries import PIECE_MODEL, table, tokenizer_path, toxicity_model
 from textlab.llm.shared import written
 
-#: A page that would lose more than this share to line dedup is a copy of other
-#: pages, which the near-duplicate stage handles; it keeps its lines.
-MAX_LINE_LOSS = 0.5
-
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity_model(spark, docs, sf_dir))
 
 
 def without_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sitelines.drop_site_lines(docs, max_loss=MAX_LINE_LOSS).select(*docs.columns)
+    """Near-duplicates count as one page of a host: a group of copies keeps the
+    lines that only it has, and the next stage keeps one of the group."""
+    near = neardup.near_duplicates(docs.select(sitelines.row_key().alias("row"), "text"), id_col="row")
+    classes = written(near.where("not kept").select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("class")).distinct(), "copies")
+    return sitelines.drop_site_lines(docs, classes=classes).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,9 +9,13 @@ A line counts once a page; it is compared without surrounding white space, by a
 before the shuffle, so a host or a line with a third of all rows is no hot
 group. A host has at most (mean lines a page) / ratio boilerplate lines.
 
-``max_loss`` spares copied pages: a page that would lose more than this share of
-its characters is a copy of other pages rather than a page with boilerplate and
-is left whole for near-duplicate removal. 1.0 (no page spared) is the default.
+``classes`` names proven copies, by row (``row_key``): the pages of a class count
+as one page of each of their hosts, both for a line and for the host, so a line
+that only copies of one page share is not boilerplate. Equal rows are copies.
+Without it every page counts, and a group of copies loses the lines it shares.
+
+``max_loss`` leaves a page whole that would lose more than this share of its
+characters. 1.0 (no page spared) is the default.
 
 Nulls: a null text stays null and counts as a page without lines; null hosts
 are one host. Blank lines never count and stay. Repeated rows count as pages of
@@ -33,31 +37,45 @@ def _key(line: Column) -> Column:
     return F.when(bare != "", F.xxhash64(bare))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """64-bit hash of a row's id and text."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def _pages(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """One row a page: id, host and the keys of its distinct lines (a primitive
-    array, which is made distinct by hashing)."""
+    """One row a page: id, row key, host and the keys of its distinct lines (a
+    primitive array, which is made distinct by hashing)."""
     lines = F.split(F.col(text_col), "\n")
-    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col), F.lit("")).alias("host"),
+    return docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row"),
+                       F.coalesce(F.col(host_col), F.lit("")).alias("host"),
                        F.array_compact(F.array_distinct(F.transform(lines, _key))).alias("keys"))
 
 
 def boilerplate_lines(docs: DataFrame, ratio: float, min_pages: int, id_col: str, text_col: str,
-                      host_col: str) -> DataFrame:
+                      host_col: str, classes: DataFrame | None = None) -> DataFrame:
     """(host, h, n_pages, host_pages) of the boilerplate lines."""
     pages = _pages(docs, id_col, text_col, host_col)
-    totals = docs.groupBy(F.coalesce(F.col(host_col), F.lit("")).alias("host")).agg(F.count("*").alias("host_pages"))
-    counts = (pages.select("host", F.explode("keys").alias("h")).groupBy("host", "h")
-              .agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages))
+    hosts = docs.select(F.coalesce(F.col(host_col), F.lit("")).alias("host"), row_key(id_col, text_col).alias("row"))
+    held = pages.select("host", F.explode("keys").alias("h"))
+    if classes is not None:
+        one = F.coalesce("class", "row").alias("class")
+        hosts = hosts.join(classes, "row", "left").select("host", one).distinct()
+        held = (pages.join(classes, "row", "left").select("host", one, F.explode("keys").alias("h"))
+                .distinct())
+    totals = hosts.groupBy("host").agg(F.count("*").alias("host_pages"))
+    counts = held.groupBy("host", "h").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
     part, whole = float(ratio).as_integer_ratio()
     return counts.join(totals, "host").where(
         F.col("n_pages").cast("double") * whole > F.col("host_pages").cast("double") * part)
 
 
 def drop_site_lines(docs: DataFrame, ratio: float = 0.05, min_pages: int = 5, max_loss: float = 1.0,
-                    id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                    classes: DataFrame | None = None) -> DataFrame:
     """All columns of ``docs`` with the text cleaned, and ``_tl_dropped`` (long),
-    the number of lines dropped."""
-    boilerplate = written(boilerplate_lines(docs, ratio, min_pages, id_col, text_col, host_col), "sitelines")
+    the number of lines dropped. ``classes`` is (row, class), one row a key; rows
+    that it lacks are of no class."""
+    boilerplate = written(boilerplate_lines(docs, ratio, min_pages, id_col, text_col, host_col, classes), "sitelines")
     pages = _pages(docs, id_col, text_col, host_col)
     hits = (pages.select("id", "host", F.explode("keys").alias("h"))
             .join(boilerplate.select("host", "h"), ["host", "h"])
