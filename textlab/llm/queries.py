@@ -7,11 +7,13 @@ classifier, byte-pair encoding) are tested against brute force instead.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import (decontaminate, licenses, linequality, neardup, pieces, records, sitelines, toxicity, urls,
-                         warc)
+from textlab.llm import (decontaminate, kdshards, licenses, linequality, neardup, pieces, records, repair, sitelines,
+                         toxicity, trie, urls, warc)
 
 WORD_TOKENIZER, WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 49_408, 2
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -83,10 +85,47 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", F.col("_tl_dropped").alias("n_dropped"), "text")
 
 
+def damage(rows: DataFrame) -> DataFrame:
+    """Conversations with faults planted by crc32 of ``conv_id:turn`` (nulls: one space)."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.translate(shown("text"), ".!?", "")).otherwise(shown("text"))
+    return (rows.where(fault != 0)
+            .select("conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(shown("role")).alias("role"),
+                    text.alias("text"), F.explode(F.sequence(F.lit(1), F.when(fault == 3, 2).otherwise(1))).alias("copy"))
+            .drop("copy"))
+
+
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired; one without rows left has no edits."""
+    rows = table(spark, sf_dir, "conversations")
+    repaired = repair.repair_conversations(damage(rows))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    out = every.join(repaired, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    nothing = hashlib.sha256(b"").hexdigest()
+    return out.select(F.col("id").alias("conv_id"),
+                      *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                        for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebased_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kdshards.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_token_records": op1, "op2_url_rules": op2, "op3_license_scan": op3, "op4_benchmark_leaks": op4,
     "op5_warc_records": op5, "op6_line_quality": op6, "op7_toxicity": op7, "op8_piece_encoding": op8,
-    "op9_near_duplicates": op9, "op10_site_lines": op10,
+    "op9_near_duplicates": op9, "op10_site_lines": op10, "op11_conversation_repair": op11,
+    "op12_conversation_trie": op12, "op13_kd_shards": op13,
 }
 
 # ---- DuckDB statements ------------------------------------------------------
@@ -229,5 +268,36 @@ select doc_id, source, coalesce(n_dropped, 0)::bigint as n_dropped, case when te
 from documents left join r using (doc_id)
 """
 
-ORACLE = {"op2_url_rules": OP2_SQL, "op3_license_scan": OP3_SQL, "op5_warc_records": OP5_SQL,
+# crc32 byte by byte, and bit by bit within a byte (0xEDB88320 is its fixed polynomial).
+_CRC_OF_ID = """xor(4294967295::ubigint, list_reduce(
+    list_prepend(4294967295::ubigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::ubigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]),
+                             lambda k, z: xor(k >> 1, 3988292384::ubigint * (k & 1)))))"""
+
+OP12_SQL = rf"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                  row_number() over (partition by conv_id order by turn nulls first, role, text) as place
+           from conversations where conv_id is not null),
+c as (select conv_id, count(*) as own, conv_id - conv_id % 20 as base, ({_CRC_OF_ID} % 4)::bigint as h from t group by conv_id),
+p as (select c.*, least(h, coalesce(b.own, 0)) as head from c left join (select conv_id as base, own from c) b using (base)),
+r as (select p.conv_id, place as depth, role, text from p join t on t.conv_id = p.base and place <= head
+      union all select p.conv_id, head + place - h, role, text from p join t on t.conv_id = p.conv_id and place > h),
+k as (select conv_id, depth, len(regexp_extract_all(text, '{_WORD}')) as words,
+             md5(string_agg(md5(length(role) || ':' || role || text), '') over (partition by conv_id order by depth)) as key
+      from r union all select conv_id, 0, 0, '' from c),
+n as (select depth, key, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words from k group by depth, key),
+up as (select n.*, q.key as parent from n left join k q on q.conv_id = n.conv_id and q.depth = n.depth - 1),
+children as (select depth - 1 as depth, parent as key, count(*) as n_children from up where depth > 0 group by all),
+own as (select up.*, coalesce(n_children, 0) as n_children from up left join children using (depth, key)),
+sums as (select k.depth, k.key, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum((n_convs - 1) * own.words) as saved
+         from own join k on k.conv_id = own.conv_id and k.depth <= own.depth group by all),
+last as (select conv_id, max(depth) as depth from k group by conv_id),
+ends as (select depth, key, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as sha from last join k using (conv_id, depth) group by all)
+select own.conv_id, own.depth::bigint as depth, q.conv_id as parent_conv_id, own.n_convs, own.n_children::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, coalesce(sha, sha256('')) as ends_sha256
+from own join sums using (depth, key) left join ends using (depth, key)
+left join n q on q.depth = own.depth - 1 and q.key = own.parent
+"""
+
+ORACLE = {"op12_conversation_trie": OP12_SQL, "op2_url_rules": OP2_SQL, "op3_license_scan": OP3_SQL, "op5_warc_records": OP5_SQL,
           "op6_line_quality": OP6_SQL, "op9_near_duplicates": OP9_SQL, "op10_site_lines": OP10_SQL}
