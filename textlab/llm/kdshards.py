@@ -76,7 +76,7 @@ def keyed(docs: DataFrame, dims: tuple[str, ...], whole: bool = False) -> DataFr
     base = docs.select("doc_id", (F.octet_length(body) + RECORD_BYTES).cast("long").alias("size"),
                        F.crc32(body).alias("text_crc32"), *[F.col(d).alias(f"k_{d}") for d in dims if d != "size"],
                        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if whole else []))
-    raw = written(base.withColumn("_row", F.monotonically_increasing_id()), "shard-keys")
+    raw = written(base.withColumns({"_row": F.monotonically_increasing_id(), "_node": F.lit(0).cast("long")}), "shard-keys")
     kinds = dict(raw.dtypes)
     names = {d: "size" if d == "size" else f"k_{d}" for d in dims}
     ends = raw.agg(*[f(names[d]).alias(f"{w}_{d}") for d in dims for w, f in (("lo", F.min), ("hi", F.max))]).first()
@@ -94,7 +94,7 @@ def keyed(docs: DataFrame, dims: tuple[str, ...], whole: bool = False) -> DataFr
         place = F.floor((number - F.lit(low)) / F.lit(span) * F.lit(float(SCALE - 1))) if span > 0 else F.lit(0)
         scaled.append(F.coalesce(F.greatest(F.lit(0), F.least(F.lit(SCALE - 1), place)), F.lit(0)).cast("long")
                       .alias(f"d_{d}"))
-    return raw.select("doc_id", "size", "text_crc32", "_row", *scaled, *(["doc"] if whole else []))
+    return raw.select("doc_id", "size", "text_crc32", "_row", "_node", *scaled, *(["doc"] if whole else []))
 
 
 def _log2(x) -> float:
@@ -207,7 +207,7 @@ def _find_cuts(rows: DataFrame, cuts: dict[int, Cut], share: dict[int, float], s
 
 def grow_tree(keys: DataFrame, shards: int, dims: tuple[str, ...]) -> DataFrame:
     """``keys`` with the leaf (0 to ``shards`` - 1) each row falls in, as ``_node``."""
-    rows = keys.withColumn("_node", F.lit(0).cast("long"))
+    rows = keys
     nodes = [(0, shards)]
     while nodes := [(lo, hi) for lo, hi in nodes if hi - lo > 1]:
         spread = _spread(rows, dims)

@@ -9,9 +9,9 @@ candidate only: links are confirmed on the full shingle sets.
 
 Groups are never expanded into pairs:
 
-1. documents with equal sets are one class, stood for by the smallest doc_id;
+1. documents with equal sets are one class, named by a hash of the set's digest;
 2. a band value or a table key that one class alone has is dropped;
-3. each class is compared with one pivot (the smallest id it shares a table
+3. each class is compared with one pivot (the smallest class it shares a table
    bucket with), and links give components;
 4. classes of buckets that still hold several components are joined exactly
    by prefix filtering, and confirmed pairs of different components are links.
@@ -24,9 +24,10 @@ holds 64-bit hashes of the distinct k-word shingles.
 Nulls and edges: a null or blank text has the empty set and is linked with
 nothing; fewer than k words are one shingle; a null doc_id is kept as a row of
 its own with a null component and ``kept`` true, and links nothing. Texts of
-any length are taken whole. Rows that repeat a doc_id are one document to the
-components, each with a row in the result. An empty table gives an empty one;
-columns besides id and text are ignored.
+any length are taken whole. Rows that repeat a doc_id are each judged by their own
+text: the component of a row is the smallest doc_id of any row reachable from that
+text, whatever the order of the rows. An empty table gives an empty one; columns
+besides id and text are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlab.llm.components import connected_components
-from textlab.llm.shared import drop_written, list_array, offsets_of, row_chunks, text_column, written
+from textlab.llm.shared import drop_written, list_array, offsets_of, release_memory, row_chunks, text_column, written
 from textlab.llm.spans import LOWER, NON_SPACE, grams, mix, span_hash, word_spans
 
 def tables_needed(threshold: float, rows: int, recall: float) -> int:
@@ -80,7 +81,7 @@ def _band_values(flat: np.ndarray, offs: np.ndarray, salts: np.ndarray, seeds: n
 
 
 def signatures(docs: DataFrame, k: int, rows: int, tables: int) -> DataFrame:
-    """(doc_id, n, h1, h2, a, b): set size, set digest, band values."""
+    """(doc_id, text_key, n, h1, h2, a, b): set size, set digest, band values."""
     rng = np.random.default_rng(9)
     seeds = rng.integers(1, 2**63, (2 * tables, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     salts = rng.integers(1, 2**63, 2 * tables, dtype=np.uint64)
@@ -101,13 +102,15 @@ def signatures(docs: DataFrame, k: int, rows: int, tables: int) -> DataFrame:
                     bands = _band_values(flat, cut, salts, seeds)
                 at = offsets_of(some * tables)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(digest[0].view(np.int64)),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(batch.schema.get_field_index("text_key")).slice(lo, hi - lo),
+                     pa.array(n), pa.array(digest[0].view(np.int64)),
                      pa.array(digest[1].view(np.int64)),
                      list_array(np.ascontiguousarray(bands[:, :tables]).reshape(-1).view(np.int64), at, pa.int64()),
                      list_array(np.ascontiguousarray(bands[:, tables:]).reshape(-1).view(np.int64), at, pa.int64())],
-                    names=["doc_id", "n", "h1", "h2", "a", "b"])
+                    names=["doc_id", "text_key", "n", "h1", "h2", "a", "b"])
+        release_memory()
 
-    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n long, h1 long, h2 long, a array<long>, b array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -119,6 +122,7 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
                 flat, cut = shingle_sets(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], k)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo),
                                                   list_array(flat.view(np.int64), cut, pa.int64())], names=["doc_id", "s"])
+        release_memory()
 
     return docs.mapInArrow(run, "doc_id long, s array<long>")
 
@@ -163,13 +167,15 @@ def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, recall: float = 0.999,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id (the smallest doc_id
-    with an equal set), component_id, kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with an equal set), component_id, kept, text_key (64-bit hash of the text)."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_key"))
     tables = tables_needed(percent / 100, rows, recall)
     sigs = written(signatures(docs, k, rows, tables), "minhash")
     full = sigs.where("n > 0 and doc_id is not null")
     classes = written(full.groupBy("h1", "h2", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("a").alias("a"), F.first("b").alias("b")), "classes")
+        F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("a").alias("a"), F.first("b").alias("b"))
+        .select(F.xxhash64("h1", "h2", "n").alias("rep"), "h1", "h2", "n", "least", "a", "b"), "classes")
 
     # Band values that two classes share, then the tables of classes with some on either side.
     bands = classes.select("rep", "n", F.lit(0).alias("side"), F.explode("a").alias("v")).union(
@@ -187,10 +193,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     first = written(met.where((F.col("p.rep") != F.col("rep")) & fits).groupBy("rep").agg(
         F.min("p.rep").alias("p")).select("p", F.col("rep").alias("r")), "pairs")
 
-    wanted = written(met.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
-    sets = written(full_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
-    links = written(_confirmed(first, sets, percent), "links")
-    group = connected_components(links, "p", "r")
+    wanted = classes.select("rep", "least.*").join(met.select("rep").distinct(), "rep", "left_semi")
+    one_text = docs.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["rep"]).select(F.col("rep").alias("doc_id"), "text")
+    sets = written(full_sets(one_text, k), "sets")
+    links_to_pivots = written(_confirmed(first, sets, percent), "links")
+    group = connected_components(links_to_pivots, "p", "r")
 
     # Classes of buckets that still hold several components: exact join of those, in place of all pairs.
     state = written(keyed.join(pivot.select("key"), "key", "left_semi").join(
@@ -199,20 +206,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     split = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = state.join(split.select("key"), "key", "left_semi").select("rep", "component").distinct()
     more = written(_rest(open_, sets, percent), "pairs")
-    links = written(links.union(_confirmed(more, sets, percent)), "links")
+    links = written(links_to_pivots.union(_confirmed(more, sets, percent)), "links")
     group = connected_components(links, "p", "r")
     drop_written(state)
     drop_written(keyed)
     drop_written(sets)
 
-    members = classes.select("h1", "h2", F.col("n").alias("n_"), "rep").join(
-        group.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "h1", "h2", "n_", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component"))
-    out = sigs.select("doc_id", "n", "h1", "h2").join(
+    for table in (first, links_to_pivots, more):
+        drop_written(table)
+    members = written(classes.select("h1", "h2", F.col("n").alias("n_"), "rep", F.col("least.doc_id").alias("class_id")).join(
+        group.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "members")
+    least = members.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    members = members.join(least, "component").select("h1", "h2", "n_", "class_id", "component_id")
+    out = sigs.select("doc_id", "text_key", "n", "h1", "h2").join(
         members, (sigs["h1"] == members["h1"]) & (sigs["h2"] == members["h2"]) & (F.col("n") == F.col("n_")) &
         F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
                       component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_key")

@@ -12,6 +12,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,30 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+#: Rows that pass between Spark and a Python worker at a time while a table is written.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts pass to Python workers in batches of ``BATCH_ROWS`` rows at most."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    if 0 < int(old) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The frame, written once to the shared folder and read back."""
     spark, path = df.sparkSession, fresh_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -59,6 +80,17 @@ def drop_written(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release_memory() -> None:
+    """At the end of a task: give freed memory back to the system, as the worker
+    process lives on and works for other stages."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path in it) of a full URI; runs in tasks."""
     from pyarrow import fs

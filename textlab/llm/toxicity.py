@@ -3,13 +3,20 @@ naive Bayes log-count ratios (Wang and Manning, 2012).
 
 A feature is the presence of a character n-gram of ``SIZES`` characters of the
 text (simple lower case, runs of white space as one space, one space before and
-after), hashed to ``2**BITS`` places. Document counts of each class give the
+after), identified by a 64-bit hash. Document counts of each class give the
 log-count ratio r of a feature; features whose ratio is significant are kept,
 their columns are scaled by r, and a logistic regression is fitted on them.
 
+Counts are taken in two passes. The first one counts hash places (``BITS`` bits), so
+its memory is fixed, and keeps the ``MAX_FEATURES`` places of highest significance
+(at least ``LEAST_Z`` standard errors, ``MIN_DOCS`` documents); the second one counts
+the n-grams themselves in those places and keeps the ``MAX_FEATURES`` most significant
+ones. Both bounds are on the model alone. Texts are looked up by the whole hash, so a
+long text gains no feature by chance.
+
 The fit uses at most ``MAX_FIT`` labelled rows, the first by a hash of their
 doc_id, so it costs the same at any input size; scoring covers every text whole.
-Every n-gram of every text is looked up in a table of fixed size.
+Every n-gram of every text is looked up.
 
 Nulls and edges: a null or empty text holds no n-gram and scores the intercept;
 rows without label or with a null doc_id are not learned from; a doc_id with
@@ -31,14 +38,17 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.shared import list_array, offsets_of, row_chunks, text_column, written
+from textlab.llm.shared import drop_written, list_array, offsets_of, release_memory, row_chunks, text_column, written
 from textlab.llm.spans import mix
 
 SIZES = (4, 5, 6)
 BITS = 22
 MAX_FIT = 16_000
 MAX_FEATURES = 30_000
+#: Steps of the regression; it ends earlier at its tolerance.
+MAX_STEPS = 100
 MIN_DOCS = 6
+LEAST_Z = 3.0
 THRESHOLD = 0.3
 
 _FOLD = np.arange(0x110000, dtype=np.uint32)
@@ -51,10 +61,15 @@ for _c in (*range(0x09, 0x0E), 0x85, 0xA0, 0x2028, 0x2029, 0x3000):
 
 @dataclass
 class Model:
-    weight: np.ndarray  # by feature place; 0 where no feature is
+    keys: np.ndarray     # 64-bit hashes of the features, ascending
+    weights: np.ndarray
     intercept: float
     constant: float | None = None
 
+    @staticmethod
+    def without_features(score: float) -> "Model":
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, score)
+
 
 def characters(u8: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code points, row offsets): folded, one space for each run of white
@@ -71,30 +86,58 @@ def characters(u8: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[keep], np.append(0, np.cumsum(keep))[cut]
 
 
-def feature_places(u8: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of the distinct features of each row, sorted by row and
-    place; with ``wanted`` (bool by place) only those."""
+def places_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def place_filter(keys: np.ndarray) -> np.ndarray:
+    """Bool by place: whether a key is there."""
+    wanted = np.zeros(1 << BITS, bool)
+    wanted[places_of(keys)] = True
+    return wanted
+
+
+def _occurrences(u8: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of all n-grams, in no order; with ``wanted`` (bool by place) only
+    those whose place is wanted."""
     cp, cut = characters(u8, offs)
-    keys = []
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     h = cp.astype(np.uint64)
     for j in range(1, max(SIZES)):
         h = h[:-1] * np.uint64(0x100000001B3) + cp[j:]
         size = j + 1
         if size not in SIZES or not len(h):
             continue
-        place = (mix(h + np.uint64(size << 56)) >> np.uint64(64 - BITS)).astype(np.int64)
-        at = np.flatnonzero(wanted[place]) if wanted is not None else np.arange(len(place))
+        key = mix(h + np.uint64(size << 56))
+        at = np.flatnonzero(wanted[places_of(key)]) if wanted is not None else np.arange(len(key))
         row = np.searchsorted(cut, at, "right") - 1
         inside = at + size <= cut[row + 1]
-        keys.append(row[inside] << BITS | place[at[inside]])
-    key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-    return key >> BITS, key & ((1 << BITS) - 1)
+        rows.append(row[inside])
+        keys.append(key[at[inside]])
+    return np.concatenate(rows), np.concatenate(keys)
 
 
-def _chunk_features(batch: pa.RecordBatch, wanted: np.ndarray | None = None):
+def feature_keys(u8: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the distinct features of each row, sorted by row and key."""
+    row, key = _occurrences(u8, offs, wanted)
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    return row[new], key[new]
+
+
+def _chunk_features(batch: pa.RecordBatch, wanted: np.ndarray | None = None, features=feature_keys):
     data, offs = text_column(batch, "text")
     for lo, hi in row_chunks(offs):
-        yield lo, hi, *feature_places(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], wanted)
+        yield lo, hi, *features(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], wanted)
+
+
+def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``key`` are among the sorted ``keys``, their places there)."""
+    at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+    return hit, at[hit]
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> DataFrame:
@@ -106,62 +149,96 @@ def fit_sample(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Da
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
-def _class_counts(sample: DataFrame) -> DataFrame:
+def _place_counts(sample: DataFrame) -> DataFrame:
+    """(key, n1, n0) by place: in how many toxic and other documents a feature of it is."""
     def run(batches):
-        counts = np.zeros((2, 1 << BITS), np.int32)
+        counts = np.zeros((1 << BITS) * 2, np.int32)
         for batch in batches:
             label = batch.column(batch.schema.get_field_index("label")).to_numpy()
-            for lo, hi, row, place in _chunk_features(batch):
-                toxic = label[lo + row] == 1
-                counts[1] += np.bincount(place[toxic], minlength=1 << BITS).astype(np.int32)
-                counts[0] += np.bincount(place[~toxic], minlength=1 << BITS).astype(np.int32)
-        some = np.flatnonzero(counts.any(axis=0))
+            for lo, hi, row, key in _chunk_features(batch, features=_occurrences):
+                once = np.unique(row << BITS | places_of(key))  # a place counts once a document
+                place = (once & ((1 << BITS) - 1)) * 2 + (label[lo + (once >> BITS)] == 1)
+                place, n = np.unique(place, return_counts=True)
+                counts[place] += n.astype(np.int32)
+        some = np.flatnonzero(counts.reshape(-1, 2).any(axis=1))
         for lo in range(0, len(some), 100_000):
             p = some[lo:lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(counts[1, p].astype(np.int64)),
-                                              pa.array(counts[0, p].astype(np.int64))], names=["place", "n1", "n0"])
+            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(counts[2 * p + 1].astype(np.int64)),
+                                              pa.array(counts[2 * p].astype(np.int64))], names=["key", "n1", "n0"])
+        release_memory()
+
+    return _summed(sample.mapInArrow(run, "key long, n1 long, n0 long"))
+
 
-    return sample.mapInArrow(run, "place long, n1 long, n0 long").groupBy("place").agg(
-        F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+def _key_counts(sample: DataFrame, shared) -> DataFrame:
+    """The same by n-gram, for the n-grams of the places of a broadcast."""
+    def run(batches):
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[shared.value] = True
+        for batch in batches:
+            label = batch.column(batch.schema.get_field_index("label")).to_numpy()
+            for lo, hi, row, key in _chunk_features(batch, wanted):
+                toxic = (label[lo + row] == 1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(toxic), pa.array(1 - toxic)],
+                                                 names=["key", "n1", "n0"])
+        release_memory()
+
+    return _summed(sample.mapInArrow(run, "key long, n1 long, n0 long"))
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+
+
+def _significant(counts: DataFrame, n1: int, n0: int) -> dict[int, float]:
+    """Log ratio of the smoothed class rates of the most significant keys."""
+    p, q = (F.col("n1") + 0.5) / (n1 + 1.0), (F.col("n0") + 0.5) / (n0 + 1.0)
+    error = F.sqrt((1 - p) / (F.col("n1") + 0.5) + (1 - q) / (F.col("n0") + 0.5))
+    ratio = F.log(p / q)
+    rows = (counts.where(F.col("n1") + F.col("n0") >= MIN_DOCS)
+            .select("key", ratio.alias("r"), (F.abs(ratio) / error).alias("z")).where(F.col("z") >= LEAST_Z)
+            .orderBy(F.desc("z"), "key").limit(MAX_FEATURES).collect())
+    return {x["key"]: x["r"] for x in rows}
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, reg: float = 0.002, parts: int = 12) -> Model:
     sample = written(fit_sample(docs, labels, max_fit).repartition(parts), "toxicity")
+    sc = sample.sparkSession.sparkContext
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):
-        return Model(np.zeros(1 << BITS, np.float32), 0.0, 1.0 if n.get(1) else 0.0)
-    # Log ratio of the smoothed class rates, and its standard error.
-    p, q = (F.col("n1") + 0.5) / (n[1] + 1.0), (F.col("n0") + 0.5) / (n[0] + 1.0)
-    error = F.sqrt((1 - p) / (F.col("n1") + 0.5) + (1 - q) / (F.col("n0") + 0.5))
-    ratio = F.log(p / q)
-    rows = (_class_counts(sample).where(F.col("n1") + F.col("n0") >= MIN_DOCS)
-            .select("place", ratio.alias("r"), (F.abs(ratio) / error).alias("z")).where("z >= 3")
-            .orderBy(F.desc("z"), "place").limit(MAX_FEATURES).collect())
-    if not rows:
-        return Model(np.zeros(1 << BITS, np.float32), 0.0, n[1] / (n[0] + n[1]))
-    rows.sort(key=lambda x: x["place"])
-    places = np.array([x["place"] for x in rows])
-    r = np.array([x["r"] for x in rows])
-    wanted = np.zeros(1 << BITS, bool)
-    wanted[places] = True
-    shared = sample.sparkSession.sparkContext.broadcast(wanted)
+        drop_written(sample)
+        return Model.without_features(1.0 if n.get(1) else 0.0)
+    places = np.array(sorted(_significant(_place_counts(sample), n[1], n[0])), np.int64)
+    sent = sc.broadcast(places)
+    ratios = _significant(_key_counts(sample, sent), n[1], n[0]) if len(places) else {}
+    sent.destroy()
+    if not ratios:
+        drop_written(sample)
+        return Model.without_features(n[1] / (n[0] + n[1]))
+    keys = np.sort(np.array(list(ratios), np.int64).view(np.uint64))
+    r = np.array([ratios[int(k)] for k in keys.view(np.int64)])
+    sent = sc.broadcast(keys)
 
     def run(batches):
+        wanted = place_filter(sent.value)
         for batch in batches:
-            for lo, hi, row, place in _chunk_features(batch, shared.value):
-                cut = offsets_of(np.bincount(row, minlength=hi - lo))
+            for lo, hi, row, key in _chunk_features(batch, wanted):
+                hit, at = _found(sent.value, key)
+                cut = offsets_of(np.bincount(row[hit], minlength=hi - lo))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(batch.schema.get_field_index("label")).slice(lo, hi - lo),
-                     list_array(place.astype(str), cut, pa.string())], names=["label", "grams"])
+                     list_array(at.astype(str), cut, pa.string())], names=["label", "grams"])
+        release_memory()
 
     grams = written(sample.mapInArrow(run, "label int, grams array<string>").repartition(parts), "toxicity")
-    counted = CountVectorizerModel.from_vocabulary(places.astype(str).tolist(), "grams", "presence").setBinary(True)
+    sent.destroy()
+    counted = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(keys))], "grams", "presence").setBinary(True)
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(r), inputCol="presence", outputCol="features")
     model = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, standardization=False,
-                               maxIter=100, tol=1e-5).fit(scaled.transform(counted.transform(grams)))
-    weight = np.zeros(1 << BITS, np.float32)
-    weight[places] = model.coefficients.toArray() * r
-    return Model(weight, float(model.intercept))
+                               maxIter=MAX_STEPS, tol=1e-5).fit(scaled.transform(counted.transform(grams)))
+    drop_written(grams)
+    drop_written(sample)
+    return Model(keys, model.coefficients.toArray() * r, float(model.intercept))
 
 
 def _scores(model: Model, batch: pa.RecordBatch, wanted: np.ndarray) -> np.ndarray:
@@ -169,8 +246,9 @@ def _scores(model: Model, batch: pa.RecordBatch, wanted: np.ndarray) -> np.ndarr
     if model.constant is not None:
         out[:] = model.constant
         return out
-    for lo, hi, row, place in _chunk_features(batch, wanted):
-        out[lo:hi] += np.bincount(row, model.weight[place], hi - lo)
+    for lo, hi, row, key in _chunk_features(batch, wanted):
+        hit, at = _found(model.keys, key)
+        out[lo:hi] += np.bincount(row[hit], model.weights[at], hi - lo)
     return 1 / (1 + np.exp(-out))
 
 
@@ -179,11 +257,12 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        wanted = shared.value.weight != 0
+        wanted = place_filter(shared.value.keys)
         for batch in batches:
             s = _scores(shared.value, batch, wanted)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                                              names=["doc_id", "score", "predicted"])
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
@@ -193,8 +272,9 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        wanted = shared.value.weight != 0
+        wanted = place_filter(shared.value.keys)
         for batch in batches:
             yield batch.filter(pa.array(_scores(shared.value, batch, wanted) < threshold))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -48,7 +48,7 @@ BLOCK = 4096
 #: Levels above the shards that are processed at a time.
 BAND = 1 << 16
 #: Messages that a queue keeps in memory, and least turns of a shard worth cutting.
-QUEUE, LEAST_SHARE = 200_000, 5_000
+QUEUE, LEAST_SHARE = 200_000, 200
 #: Ids joined into one piece before they are hashed.
 PIECE = 8192
 
