@@ -19,6 +19,8 @@ from textlab.llm.shared import written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score as toxic go; the model learns from the labelled rows among
+    ``docs`` that are not held out. A null or empty text scores the intercept."""
     return toxicity.drop_toxic(docs, toxicity_model(spark, docs, sf_dir))
 
 
@@ -32,16 +34,26 @@ def without_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; equal rows of one doc_id stay once."""
-    again = written(neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct(), "duplicates")
-    return docs.join(again, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """One row of each group of near-duplicates stays, that of the smallest doc_id (of
+    several texts of that id, one). A row is judged by its own text, so where an id
+    repeats, only the texts that copy others go. Equal rows stay once; rows without
+    an id all stay, as do those whose text has no word."""
+    near = written(neardup.near_duplicates(docs).where("doc_id is not null and n_shingles > 0"), "near")
+    first = near.where("kept").groupBy("component_id").agg(F.min("text_key").alias("first_text"))
+    gone = written(near.join(first, "component_id").where("not kept or text_key <> first_text")
+                   .select(F.col("doc_id").alias("id"), "text_key").distinct(), "duplicates")
+    left = docs.join(gone, (docs["doc_id"] == gone["id"]) & (F.xxhash64(docs["text"]) == gone["text_key"]), "left_anti")
+    return left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text holds an item of the benchmark, exactly or nearly, go; null and
+    empty texts hold none."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its piece ids; a null or empty text has none."""
     return pieces.encode_documents(docs, tokenizer_path(PIECE_MODEL), check=True)
 
 

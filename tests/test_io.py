@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from textlab.operators.errors import error_samples, snippet
 from textlab.operators.metrics import class_report
 from textlab.sources.io import read_labelled, read_labelled_csv, write_csv, write_json
@@ -16,9 +16,9 @@ def test_csv_multiline_and_doubled_quotes(spark):
     d = tempfile.mkdtemp(prefix="csv-")
     p = os.path.join(d, "raw.csv")
     with open(p, "w", encoding="utf-8") as f:
-        f.write('id,text,label\n1,"Why is this page wrong?! \n\nHola! ""quoted""",1\n2,plain,0\n')
+        f.write('id,text,label\n1,"Row one, line one;\n\nline three says ""stop"".",1\n2,plain,0\n')
     rows = {r.doc_id: (r.text, r.label) for r in read_labelled_csv(spark, p, id_col="id").collect()}
-    assert rows == {1: ('Why is this page wrong?! \n\nHola! "quoted"', 1), 2: ("plain", 0)}
+    assert rows == {1: ('Row one, line one;\n\nline three says "stop".', 1), 2: ("plain", 0)}
 
 
 def test_error_sink_roundtrip(spark):

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 from textlab.functions.normalize import normalise
 from textlab.operators.lexicon import lexicon_flag, lexicon_structs, profanity_ratio
 from textlab.operators.metrics import confusion

@@ -5,12 +5,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from textlab.operators.models import ModelSpec, fit, load_model, save_model, scores
 from textlab.operators.tune import candidates, load_best_params, save_best_params
-from textlab.plans.catalog import FEAT_CFG, LEMMAS, LEXICON_WORDS, feature_store
+from textlab.plans.catalog import feature_store
 from textlab.plans.features import transform_texts
-from textlab.sources.io import cues_frame, lemma_frame, read_labelled
+from textlab.sources.io import read_labelled
 from textlab.sources.store import load_features
 
 
@@ -27,8 +27,7 @@ def test_logreg_roundtrip_and_text_scoring(spark):
     # raw texts through the stored fit give the stored test features
     docs = read_labelled(spark, SF001)
     test_ids = load_features(spark, path, "test").select("doc_id")
-    new = transform_texts(docs.join(test_ids, "doc_id", "left_semi").select("doc_id", "text"), path, FEAT_CFG,
-                          cues_frame(spark, LEXICON_WORDS), lemma_frame(spark, LEMMAS))
+    new = transform_texts(docs.join(test_ids, "doc_id", "left_semi").select("doc_id", "text"), path)
     stored = spark.read.parquet(path + "/features").where(F.col("split") == "test")
     got = {r.doc_id: (list(r.features.indices), [round(v, 9) for v in r.features.values]) for r in new.collect()}
     want = {r.doc_id: (list(r.features.indices), [round(v, 9) for v in r.features.values]) for r in stored.collect()}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from textlab.operators.split import round_share, stratified_split
 from textlab.sources.io import read_labelled
 

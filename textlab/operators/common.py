@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 # selected-feature map). Above them the operators take their shuffle path.
 BROADCAST_MAX_ROWS = 2_000_000
 INLINE_MAX_ROWS = 20_000
+# Bytes of a side table with texts of any length, measured before it is broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> int | None:

@@ -6,24 +6,24 @@ hex string in Spark and DuckDB). Class c puts its first
 ``val``, the remainder in ``train``; train rows are cut into ``folds``
 contiguous blocks in the same order.
 
-No window ever ranks a whole class. The boundary rows are found as exact
-order statistics by radix refinement: count rows per (class, next 3 hex
-digits) under the prefix known so far, walk the counts to the bucket holding
-the wanted rank, repeat. Each round is one column-pruned aggregation with at
-most 4096 output rows per target, and about log_4096(n) rounds suffice. The
-split of a row is then a comparison of its key with a few literal cut keys:
-a projection, no shuffle, works on any table holding ``doc_id`` and ``label``.
+No window ever ranks a whole class. The boundary rows are exact order statistics,
+found in two jobs at any size: one aggregation counts each class and sketches its
+keys (KLL, mergeable), and brackets every wanted rank between two sketched quantiles;
+the next one counts the rows below each bracket and in fine bins inside it. A third
+job reads the keys of a bin that holds several. A bracket that missed its rank (the
+counts show it) is opened and counted again, so the sketch never decides. The split
+of a row is then a comparison of its key with a few literal cut keys: a projection,
+no shuffle, works on any table holding ``doc_id`` and ``label``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import collect_bounded
 
-HEX_PER_ROUND = 3
 MAX_CLASSES = 1000
 _MICRO = 1_000_000
 
@@ -43,50 +43,80 @@ def fold_ends(m: int, k: int) -> list[int]:
     return [-(-(f + 1) * m // k) for f in range(k - 1)]
 
 
-#: Hex digits of an md5 key.
-KEY_DIGITS = 32
+#: Hex digits of a key that make its number: 60 bits, so it fits a long.
+NUMBER_DIGITS = 15
+#: Quantiles read from a sketch, its size, and bins a bracket.
+GRID, SKETCH_SIZE, BINS = 256, 2000, 1 << 14
+#: Keys of one bin that are read one by one.
+READ_KEYS = 10_000
 
 
-def order_statistics(df: DataFrame, key: Column, group: Column,
-                     wanted: dict) -> dict:
+def _number(key: Column) -> Column:
+    return F.conv(F.substring(key, 1, NUMBER_DIGITS), 16, 10).cast("long")
+
+
+def key_grids(df: DataFrame, key: Column, group: Column) -> dict:
+    """``{group: (rows, GRID + 1 quantiles of the keys' numbers)}`` in one aggregation."""
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    sketched = (df.select(group.alias("g"), _number(key).alias("k")).groupBy("g")
+                .agg(F.count("*").alias("n"), F.kll_sketch_agg_bigint("k", F.lit(SKETCH_SIZE)).alias("s"))
+                .select("g", "n", F.kll_sketch_get_quantile_bigint("s", grid).alias("q")))
+    return {r.g: (r.n, r.q) for r in collect_bounded(sketched, MAX_CLASSES, "classes")}
+
+
+def _bracket(rank: int, n: int, grid: list[int]) -> tuple[int, int]:
+    """Two grid points that should enclose a rank, one more to each side; open at the ends."""
+    at = rank * GRID // n
+    return (grid[at - 1] if at > 1 else 0), (grid[at + 2] if at + 2 < GRID else (1 << 4 * NUMBER_DIGITS) - 1)
+
+
+def order_statistics(df: DataFrame, key: Column, group: Column, wanted: dict, grids: dict | None = None) -> dict:
     """Exact keys at 1-based ranks: ``wanted = {group: [rank, ...]}`` ->
-    ``{(group, rank): key}``. Keys are hex strings of ``KEY_DIGITS``; rows with
-    equal keys fall on the same side of a cut."""
-    d = df.select(group.alias("g"), key.alias("k"))
-    todo = {(g, r): ("", r) for g, ranks in wanted.items() for r in ranks}
-    done = {}
-    depth = 0
+    ``{(group, rank): key}``. Keys are hex strings of one length; rows with equal
+    keys fall on the same side of a cut."""
+    spark = df.sparkSession
+    d = df.select(group.alias("g"), key.alias("key"))
+    grids = grids or key_grids(df, key, group)
+    todo = {}
+    for g, ranks in wanted.items():
+        for r in ranks:
+            if not 1 <= r <= grids.get(g, (0, []))[0]:
+                raise ValueError(f"rank {r} beyond the rows of class {g}")
+            todo[(g, r)] = _bracket(r, *grids[g])
+    done: dict = {}
+    full = (0, (1 << 4 * NUMBER_DIGITS) - 1)
+    kind = d.schema["g"].dataType.simpleString()
     while todo:
-        depth += HEX_PER_ROUND
-        prefixes = sorted({(g, p) for (g, _), (p, _) in todo.items()})
-        cond = F.lit(False)
-        for g, p in prefixes:
-            cond = cond | ((F.col("g") == F.lit(g)) & F.col("k").startswith(p))
-        counts = (d.where(cond)
-                  .groupBy("g", F.substring("k", 1, depth).alias("b"))
-                  .agg(F.count("*").alias("n"), F.min("k").alias("kmin")))
-        rows = collect_bounded(counts, len(prefixes) << (4 * HEX_PER_ROUND), "radix counts")
-        buckets: dict = {}
-        for r in rows:
-            buckets.setdefault(r.g, []).append(r)
-        for lst in buckets.values():
-            lst.sort(key=lambda r: r.b)
-        nxt = {}
-        for (g, rank), (p, resid) in todo.items():
-            seen = 0
-            for r in buckets.get(g, []):
-                if not r.b.startswith(p):
-                    continue
-                if seen + r.n >= resid:
-                    # Rows that share a whole key (repeated ids) share its rank.
-                    if r.n == 1 or depth >= KEY_DIGITS:
-                        done[(g, rank)] = r.kmin
-                    else:
-                        nxt[(g, rank)] = (r.b, resid - seen)
-                    break
-                seen += r.n
+        targets = spark.createDataFrame([(g, r, lo, hi, (hi - lo) // BINS + 1) for (g, r), (lo, hi) in todo.items()],
+                                        f"g {kind}, rank long, lo long, hi long, step long")
+        k = F.col("k")
+        bins = (d.withColumn("k", _number(F.col("key"))).join(F.broadcast(targets), "g").where("k <= hi")
+                .withColumn("bin", F.when(k < F.col("lo"), -1).otherwise(F.expr("(k - lo) div step")))
+                .groupBy("g", "rank", "bin")
+                .agg(F.count("*").alias("n"), F.min("key").alias("least"), F.max("key").alias("most")))
+        upto = F.sum("n").over(Window.partitionBy("g", "rank").orderBy("bin"))
+        hits = (bins.withColumn("upto", upto).where("upto >= rank").groupBy("g", "rank")
+                .agg(F.min_by(F.struct("bin", "n", "least", "most", "upto"), "bin").alias("b")).select("g", "rank", "b.*"))
+        found = {(r.g, r["rank"]): r for r in hits.collect()}
+        read, nxt = [], {}
+        for target in todo:
+            r = found.get(target)
+            if r is None or r.bin < 0:
+                nxt[target] = full  # the bracket missed its rank
+            elif r.least == r.most:
+                done[target] = r.least
+            elif r.n <= READ_KEYS or r.least[:NUMBER_DIGITS] == r.most[:NUMBER_DIGITS]:
+                read.append((*target, r.least, r.most, r.upto - r.n))
             else:
-                raise ValueError(f"rank {rank} beyond the rows of class {g}")
+                nxt[target] = (int(r.least[:NUMBER_DIGITS], 16), int(r.most[:NUMBER_DIGITS], 16))
+        if read:
+            few = spark.createDataFrame(read, f"g {kind}, rank long, least string, most string, below long")
+            keys = (d.join(F.broadcast(few), "g").where("key between least and most")
+                    .groupBy("g", "rank", "key", "below").agg(F.count("*").alias("n")))
+            upto = F.col("below") + F.sum("n").over(Window.partitionBy("g", "rank").orderBy("key"))
+            for r in (keys.withColumn("upto", upto).where("upto >= rank").groupBy("g", "rank")
+                      .agg(F.min("key").alias("key")).collect()):
+                done[(r.g, r["rank"])] = r.key
         todo = nxt
     return done
 
@@ -106,9 +136,11 @@ class SplitPlan:
 
 def plan_split(df: DataFrame, seed: int = 1337, test_size: float = 0.1,
                valid_size: float = 0.1, folds: int = 3, key: str = "doc_id",
-               label: str = "label") -> SplitPlan:
-    counts = {r["label"]: r["count"] for r in collect_bounded(
-        df.groupBy(F.col(label).alias("label")).count(), MAX_CLASSES, "classes")}
+               label: str = "label", hashed: str | None = None) -> SplitPlan:
+    """``hashed``: a column that holds the hash keys already."""
+    hashed = hash_key(seed, key) if hashed is None else F.col(hashed)
+    grids = key_grids(df, hashed, F.col(label))
+    counts = {c: n for c, (n, _) in grids.items()}
     plan = SplitPlan(seed=seed, counts=counts)
     wanted = {}
     for c, n in counts.items():
@@ -118,7 +150,7 @@ def plan_split(df: DataFrame, seed: int = 1337, test_size: float = 0.1,
         ends = [n_test + n_val + e for e in fold_ends(m, folds)] if folds > 1 and m > 0 else []
         plan.sizes[c] = (n_test, n_val, m)
         wanted[c] = sorted({r for r in [n_test, n_test + n_val, *ends] if 0 < r <= n})
-    stats = order_statistics(df, hash_key(seed, key), F.col(label), wanted)
+    stats = order_statistics(df, hashed, F.col(label), wanted, grids)
     for c, n in counts.items():
         n_test, n_val, m = plan.sizes[c]
         plan.test_cut[c] = stats.get((c, n_test), "")
@@ -136,9 +168,9 @@ def _per_class(label: Column, values: dict, default) -> Column:
 
 
 def assign_split(df: DataFrame, plan: SplitPlan, key: str = "doc_id",
-                 label: str = "label", with_fold: bool = True) -> DataFrame:
+                 label: str = "label", with_fold: bool = True, hashed: str | None = None) -> DataFrame:
     """Add ``split`` (test/val/train) and, for train rows, ``fold``."""
-    k = hash_key(plan.seed, key)
+    k = hash_key(plan.seed, key) if hashed is None else F.col(hashed)
     y = F.col(label)
     split = (F.when(k <= _per_class(y, plan.test_cut, ""), F.lit("test"))
              .when(k <= _per_class(y, plan.val_cut, ""), F.lit("val"))

@@ -13,6 +13,7 @@ No ``CountVectorizer``/``HashingTF``/``IDF``: the vocabulary is unbounded (no
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.ngrams import char_ngrams, word_ngrams
 from ..functions.normalize import default_word_tokens, latin_tokens, lemma_input, letter_tokens, with_stripped_accents
 from ..session import cut_lineage
-from .common import BROADCAST_MAX_ROWS, collect_bounded, row_count_at_most, sized_broadcast
+from .common import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, collect_bounded, row_count_at_most, sized_broadcast
+from .sketch import frequent_bits, may_be_frequent, width_for
 
 WORD, CHAR = 0, 1
 # A lemma table up to this size is applied in the projection (its map lookup
@@ -112,14 +114,33 @@ def block_terms(word_tok: Column | None, char_text: Column | None, params: Tfidf
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def postings(df: DataFrame, terms: Column, key: str = "doc_id", keep=()) -> DataFrame:
+def term_hash(block: Column, term: Column) -> Column:
+    return F.xxhash64(block, term)
+
+
+def rare_terms_filter(train: DataFrame, terms: Column, params: TfidfParams) -> Callable[[Column, Column], Column]:
+    """First pass of the fit: a predicate (block, term) that is false only for terms
+    that cannot be in ``min_df`` train documents. Nothing is stored: the distinct
+    term hashes of each document are counted in a count-min sketch."""
+    least = min(params.min_df_word, params.min_df_char)
+    if least <= 1:
+        return lambda block, term: F.lit(True)
+    hashes = train.select(F.explode(F.array_distinct(F.transform(
+        terms, lambda t: term_hash(t["block"], t["term"])))).alias("h"))
+    width = width_for(hashes.agg(F.approx_count_distinct("h", 0.1)).first()[0])
+    bits = frequent_bits(hashes, least, width)
+    return lambda block, term: may_be_frequent(term_hash(block, term), bits, width)
+
+
+def postings(df: DataFrame, terms: Column, key: str = "doc_id", keep=(), kept=None) -> DataFrame:
     """``(doc_id, *keep, block, term, tf)``; ``keep`` columns depend on the
-    key only. When ``df`` is hash-partitioned by the key the aggregation is
-    shuffle-free; otherwise the partial aggregation collapses each
-    document's repeats before the shuffle."""
-    ex = df.select(key, *keep, F.explode(terms).alias("bt"))
-    return (ex.groupBy(key, *keep, F.col("bt.block").alias("block"), F.col("bt.term").alias("term"))
-            .agg(F.count("*").alias("tf")))
+    key only. ``kept``: a predicate (block, term) of the terms to keep. When ``df``
+    is hash-partitioned by the key the aggregation is shuffle-free; otherwise the
+    partial aggregation collapses each document's repeats before the shuffle."""
+    ex = df.select(key, *keep, F.explode(terms).alias("bt")).select(key, *keep, "bt.block", "bt.term")
+    if kept is not None:
+        ex = ex.where(kept(F.col("block"), F.col("term")))
+    return ex.groupBy(key, *keep, "block", "term").agg(F.count("*").alias("tf"))
 
 
 # ------------------------------------------------------------- vocabulary
@@ -173,13 +194,55 @@ def fit_vocab(train_postings: DataFrame, n_docs: int, params: TfidfParams,
     return out
 
 
-def weigh(all_postings: DataFrame, vocab: DataFrame, key: str = "doc_id", keep=()) -> DataFrame:
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes that a row takes in a broadcast table."""
+    size = F.lit(16 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.octet_length(name)
+    return size
+
+
+def hot_terms(vocab: DataFrame, most_bytes: int) -> DataFrame | None:
+    """The most frequent terms that fit ``most_bytes`` together, or None if all do.
+
+    A frequency is cut at powers of two: the bytes of the terms at or above each power
+    are known from one aggregation (a row a power), so the cut is the lowest that fits.
+    """
+    per = (vocab.groupBy(F.floor(F.log2("df")).cast("int").alias("power")).agg(F.sum(row_bytes(vocab)).alias("bytes"))
+           .collect())
+    total, cut = 0, None
+    for r in sorted(per, key=lambda r: -r.power):
+        if total + r.bytes > most_bytes:
+            return vocab.where(F.col("df") >= F.lit(1 << cut)) if cut is not None else vocab.limit(0)
+        total, cut = total + r.bytes, r.power
+    return None
+
+
+def look_up(postings_: DataFrame, vocab: DataFrame, most_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Postings with ``idx`` and ``idf``; terms outside the vocabulary are dropped.
+
+    A vocabulary of at most ``most_bytes`` is broadcast. Of a larger one the terms in
+    most documents are, up to that size, so that no key of the shuffle join that
+    serves the rest holds more than its share of rows; both parts are united."""
+    v = vocab.select("block", "term", "df", "idx", "idf")
+    hot = hot_terms(v, most_bytes)
+    if hot is None:
+        return postings_.join(F.broadcast(v.drop("df")), ["block", "term"])
+    hot = hot.drop("df")
+    tried = postings_.join(F.broadcast(hot.withColumnsRenamed({"idx": "hot_idx", "idf": "hot_idf"})), ["block", "term"], "left")
+    found = (tried.where("hot_idx is not null")
+             .withColumnsRenamed({"hot_idx": "idx", "hot_idf": "idf"}))
+    rest = (tried.where("hot_idx is null").drop("hot_idx", "hot_idf")
+            .join(v.drop("df").hint("shuffle_merge"), ["block", "term"]))
+    return found.unionByName(rest)
+
+
+def weigh(all_postings: DataFrame, vocab: DataFrame, key: str = "doc_id", keep=(),
+          most_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``(doc_id, block, idx, w)``: sublinear tf times idf, L2-normalised per
-    document and block; terms outside the vocabulary are dropped. The vocab
-    is broadcast only after a size check; otherwise AQE splits skewed terms
-    of the shuffle join."""
-    v = sized_broadcast(vocab.select("block", "term", "idx", "idf"), BROADCAST_MAX_ROWS)
-    j = all_postings.join(v, ["block", "term"], "inner")
+    document and block; terms outside the vocabulary are dropped (see ``look_up``)."""
+    j = look_up(all_postings, vocab, most_bytes)
     raw = (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
     w = Window.partitionBy(key, "block")
     return (j.select(key, *keep, "block", "idx", raw.alias("r"))

@@ -8,6 +8,7 @@ rounded to 6 places, over the same views.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -270,10 +271,11 @@ FEAT_CFG = FeatureConfig(seed=SEED, k_best=K_BEST, rank_digits=D)
 FEAT_CTES = feature_ctes(LAB_Q, SEED, LEMMAS, LEXICON_WORDS, K_BEST)
 
 
-def _features(spark, sf, selection: bool = True):
-    """The feature job; queries that read only blocks upstream of the chi2
-    selection skip it (their output does not depend on it)."""
+def _features(spark, sf, selection: bool = True, dense: bool = True):
+    """The feature job; queries whose output does not depend on the chi2 selection or
+    the dense blocks leave them out."""
     cfg = FEAT_CFG if selection else replace(FEAT_CFG, selection=False)
+    cfg = cfg if dense else replace(cfg, use_raw_feats=False, use_profanity_ratio=False)
     return build_features(read_labelled(spark, sf), cfg, cues_frame(spark, LEXICON_WORDS),
                           lemma_frame(spark, LEMMAS))
 
@@ -284,7 +286,7 @@ def _block_df(block):
 
 def _spark_block_df(spark, sf, block):
     from ..operators.tfidf import document_frequencies
-    fs = _features(spark, sf, selection=False)
+    fs = _features(spark, sf, selection=False, dense=False)
     v = fs.vocab.where(F.col("block") == block).select("term")
     # df and ttf over the train postings of the fitted vocabulary's block
     post = fs.postings.where(F.col("split") == "train")
@@ -303,12 +305,12 @@ def q_char_ngrams_df(spark, sf):
 
 @query("vocab_index", f"WITH {FEAT_CTES} SELECT block, term, CAST(idx AS BIGINT) AS idx, df, round(idf, {D}) AS idf FROM vocab")
 def q_vocab_index(spark, sf):
-    return _features(spark, sf, selection=False).vocab.select("block", "term", "idx", "df", rnd("idf"))
+    return _features(spark, sf, selection=False, dense=False).vocab.select("block", "term", "idx", "df", rnd("idf"))
 
 
 @query("tfidf_union", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM tfidf")
 def q_tfidf_union(spark, sf):
-    return _features(spark, sf, selection=False).tfidf.select("doc_id", "idx", rnd("w"))
+    return _features(spark, sf, selection=False, dense=False).tfidf.select("doc_id", "idx", rnd("w"))
 
 
 @query("assembled_features", f"WITH {FEAT_CTES} SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(w, {D}) AS w FROM feat")
@@ -466,6 +468,44 @@ def q_cv_search(spark, sf):
     return results
 
 
+from .scoring import save_scorer, weight_table  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+
+
+def text_scorer(spark, sf, spec: ModelSpec = ModelSpec("logreg")):
+    """A saved and loaded raw-text scorer of the stored features and a model fitted on train."""
+    path, _, _ = feature_store(spark, sf)
+    model = fit(load_features(spark, path, "train"), spec)
+    return save_scorer(path, weight_table(spark, model), "logistic" if spec.name == "logreg" else "identity",
+                       scratch_dir(spark, "scorer"))
+
+
+@query("score_texts")
+def q_score_texts(spark, sf):
+    """All documents, labelled or not, through the saved logistic scorer."""
+    return text_scorer(spark, sf).transform(table(spark, sf, "documents"))
+
+
+def evaluated_models(spark, sf):
+    """``{model: scored test rows}`` of the three models, each with its default spec."""
+    return {"logreg": model_scores(spark, sf, ModelSpec("logreg")), "lsvc": squared_hinge_scores(spark, sf),
+            "pac": q_pa_scores(spark, sf)}
+
+
+@query("model_report")
+def q_model_report(spark, sf):
+    """The classification report of each model on the test split."""
+    parts = [_report_cols(class_report(s)).withColumn("model", F.lit(m)) for m, s in evaluated_models(spark, sf).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("model_areas")
+def q_model_areas(spark, sf):
+    """ROC-AUC and average precision of each model on the test split."""
+    parts = [auc_summary(s).withColumn("model", F.lit(m)) for m, s in evaluated_models(spark, sf).items()]
+    return reduce(DataFrame.unionByName, parts).select("model", rnd("roc_auc"), rnd("pr_auc"))
+
+
 from ..streaming.flags import run_flag_stream  # noqa: E402
 
 

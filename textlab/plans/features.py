@@ -1,16 +1,24 @@
 """The feature job: split, normalise, fit TF-IDF on train, add the raw-text
 and profanity blocks, select by chi-squared, pack.
 
-One lazy lineage ``docs -> norm -> postings -> vocab -> weights -> chi2 ->
-packed``. Actions happen only where a small result steers the plan: split
-cut keys, the train-document count, vocabulary offsets, class priors.
-Postings are persisted (memory and disk; deterministic, so a lost block is
-recomputed from lineage) because they feed both the vocabulary fit and the
-weights.
+The corpus is read once. That pass normalises and tokenises every text, computes its
+statistics, its hash key and the hash of the row, and writes the keyed rows to the
+shared folder. Everything else reads the columns it needs of those rows, down to two
+of them for the content signature and the class counts: ``rows -> split -> postings
+-> vocab -> weights -> chi2 -> packed``. (``DataFrame.observe`` could count in the
+writing pass, but in Spark 4.1 a session that holds an ``Observation`` cannot be
+serialised, and every fitted ML model whose summary refers to it fails in its tasks.)
+
+The vocabulary is fitted in two passes: a count-min sketch of document frequencies
+drops terms that cannot reach ``min_df`` before any posting is stored, and the exact
+counts decide. Postings that are left are persisted (memory and disk; they can be
+recomputed from the written rows) because they feed the counts and the weights.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
@@ -22,8 +30,12 @@ from ..functions.stats import STAT_COLUMNS, raw_text_stats
 from ..operators.assemble import dense_block_long, pack
 from ..operators.lexicon import profanity_ratio
 from ..operators.select import chi2_scores, class_priors, project, top_k
-from ..operators.split import assign_split, plan_split
-from ..operators.tfidf import CHAR, WORD, TfidfParams, block_terms, fit_vocab, postings, weigh, word_tokens
+from ..operators.split import assign_split, hash_key, plan_split
+from ..operators.tfidf import (CHAR, WORD, TfidfParams, block_terms, fit_vocab, postings, rare_terms_filter, weigh,
+                               word_tokens)
+from ..session import scratch_dir
+from ..sources.io import cues_frame, lemma_frame
+from ..sources.store import content_sums, row_hash
 
 
 @dataclass(frozen=True)
@@ -42,6 +54,12 @@ class FeatureConfig:
     def as_dict(self) -> dict:
         return asdict(self)
 
+    @staticmethod
+    def from_dict(kept: dict) -> "FeatureConfig":
+        """The settings that ``as_dict`` gave, also after a way through JSON."""
+        tfidf = {k: tuple(v) if isinstance(v, list) else v for k, v in kept["tfidf"].items()}
+        return FeatureConfig(**{**kept, "tfidf": TfidfParams(**tfidf)})
+
 
 @dataclass
 class FeatureSet:
@@ -51,10 +69,12 @@ class FeatureSet:
     selected: DataFrame | None
     n_features: int          # width before selection
     size: int                # width after selection
+    n_terms: int             # width of the TF-IDF blocks: where the others begin
     tfidf: DataFrame | None = None      # (doc_id, idx, w) word + char blocks
     assembled: DataFrame | None = None  # all blocks before selection (+ keys)
     postings: DataFrame | None = None   # (doc_id, keys, block, term, tf)
     persisted: list = field(default_factory=list)
+    content: dict = field(default_factory=dict)  # signature sums of the rows that were read
 
     def packed(self) -> DataFrame:
         return pack(self.long, self.docs, self.size, keep=("label", "split", "fold"))
@@ -67,45 +87,70 @@ class FeatureSet:
 KEEP = ("label", "split", "fold")
 
 
+def text_columns(docs: DataFrame, cfg: FeatureConfig, cues: DataFrame | None, lemmas: DataFrame | None) -> DataFrame:
+    """``docs`` with all that is computed from a text alone: ``norm``, the word tokens
+    ``wtok``, and, if wanted, the statistics and the profanity ratio."""
+    cols = docs.columns
+    d = docs.withColumn("norm", normalise("text"))
+    d = word_tokens(d, "norm", cfg.tfidf, lemmas)
+    cols = [*cols, "norm", "wtok"]
+    if cfg.use_profanity_ratio and cues is not None:
+        d = profanity_ratio(d, cues, "norm")
+        cols.append("profanity_ratio")
+    return raw_text_stats(d, "text", tuple(cols)) if cfg.use_raw_feats else d.select(*cols)
+
+
+def prepare(docs: DataFrame, cfg: FeatureConfig, cues: DataFrame | None, lemmas: DataFrame | None) -> DataFrame:
+    """The one pass over the corpus: the keyed rows, written and read back."""
+    d = docs.select("doc_id", "text", "label")
+    d = text_columns(d.withColumn("row_hash", row_hash(d)), cfg, cues, lemmas).drop("text").withColumn("key", hash_key(cfg.seed))
+    path = scratch_dir(docs.sparkSession, "corpus")
+    d.write.parquet(path)
+    return docs.sparkSession.read.schema(d.schema).parquet(path)
+
+
+def term_arrays(rows: DataFrame, p: TfidfParams, keep=()) -> tuple[DataFrame, object]:
+    """(rows hash-partitioned by document with the arrays that n-grams come from, the
+    array of all n-grams). The longest char n-grams become a column, so that one regex
+    pass feeds every shorter n as well."""
+    d = rows.select("doc_id", *keep, "wtok", "norm").repartition("doc_id")
+    d = d.select("doc_id", *keep, "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
+    return d, block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop"))
+
+
+def _dense_blocks(rows: DataFrame, cfg: FeatureConfig, width: int, with_ratio: bool, keep=()) -> tuple[list[DataFrame], int]:
+    """Raw statistics and profanity ratio (F12, F13) in long form, and the width with them."""
+    blocks = []
+    if cfg.use_raw_feats:
+        blocks.append(dense_block_long(rows, STAT_COLUMNS, width, keep=keep))
+        width += len(STAT_COLUMNS)
+    if with_ratio:
+        blocks.append(dense_block_long(rows, ["profanity_ratio"], width, keep=keep))
+        width += 1
+    return blocks, width
+
+
 def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues: DataFrame | None = None,
                    lemmas: DataFrame | None = None) -> FeatureSet:
     """``docs`` = ``(doc_id, text, label)``."""
-    plan = plan_split(docs, cfg.seed, cfg.test_size, cfg.valid_size, cfg.folds)
-    d = assign_split(docs, plan).withColumn("norm", normalise("text"))
+    rows = prepare(docs, cfg, cues, lemmas)
+    plan = plan_split(rows, cfg.seed, cfg.test_size, cfg.valid_size, cfg.folds, hashed="key")
+    d = assign_split(rows, plan, hashed="key")
     keys = d.select("doc_id", *KEEP)
 
     # TF-IDF blocks (F1-F11).
     p = cfg.tfidf
-    d_w = word_tokens(d, "norm", p, lemmas)
-    # The accent fallback (an Arrow evaluation) hides the doc_id partitioning;
-    # re-partitioning the document rows here is far cheaper than letting the
-    # postings aggregation and the per-document window shuffle n-gram rows.
-    d_w = d_w.repartition("doc_id")
-    # The longest char n-grams become a column first, so the one regex pass
-    # feeds every shorter n as well.
-    d_w = d_w.select("doc_id", *KEEP, "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
-    terms = block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop"))
-    post = postings(d_w, terms, keep=KEEP).persist(StorageLevel.MEMORY_AND_DISK)
-    train = keys.where(F.col("split") == "train")
+    d_w, terms = term_arrays(d, p, KEEP)
+    in_train = F.col("split") == "train"
+    kept = rare_terms_filter(d_w.where(in_train), terms, p)
+    post = postings(d_w, terms, keep=KEEP, kept=kept).persist(StorageLevel.MEMORY_AND_DISK)
     n_train = sum(n_test_val[2] for n_test_val in plan.sizes.values())
-    train_post = post.join(train.select("doc_id"), "doc_id", "left_semi")
-    vocab = fit_vocab(train_post, n_train, p, blocks=(WORD, CHAR))
-    v_size = vocab.count()
+    vocab = fit_vocab(post.where(in_train), n_train, p, blocks=(WORD, CHAR))
     w = weigh(post, vocab, keep=KEEP).select("doc_id", *KEEP, "idx", "w")
-    blocks = [w]
-    width = v_size
-
-    # Raw statistics (14 columns) and profanity ratio (F12, F13).
-    if cfg.use_raw_feats:
-        stats = raw_text_stats(d, "text", ("doc_id", *KEEP))
-        blocks.append(dense_block_long(stats, STAT_COLUMNS, width, keep=KEEP))
-        width += len(STAT_COLUMNS)
-    if cfg.use_profanity_ratio and cues is not None:
-        pr = profanity_ratio(d.select("doc_id", *KEEP, "norm"), cues, "norm")
-        blocks.append(dense_block_long(pr, ["profanity_ratio"], width, keep=KEEP))
-        width += 1
-    long = blocks[0]
-    for b in blocks[1:]:
+    n_terms = vocab.count()
+    dense, width = _dense_blocks(d, cfg, n_terms, cfg.use_profanity_ratio and cues is not None, KEEP)
+    long = w
+    for b in dense:
         long = long.unionByName(b)
     # Feeds both the chi2 scores and the projection: kept, not recomputed.
     long = long.persist(StorageLevel.MEMORY_AND_DISK)
@@ -113,46 +158,35 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
 
     selected, size = None, width
     if cfg.selection:
-        priors = class_priors(train)
+        priors = class_priors(keys.where(in_train))
         # one row per feature, read by the quantile cut and the top-k
-        scores = chi2_scores(long.where(F.col("split") == "train"), priors).persist()
+        scores = chi2_scores(long.where(in_train), priors).persist()
         # k rows at most: kept, so the size check and the projection share it
         selected = top_k(scores, min(cfg.k_best, width), digits=cfg.rank_digits).persist()
         long = project(long, selected)
         size = min(cfg.k_best, width)
-    return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected,
-                      n_features=width, size=size, tfidf=w, assembled=assembled, postings=post,
+    return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected, content=content_sums(rows, "row_hash"),
+                      n_features=width, size=size, n_terms=n_terms, tfidf=w, assembled=assembled, postings=post,
                       persisted=[assembled, post] + ([selected, scores] if selected is not None else []))
 
 
-def transform_texts(docs: DataFrame, path: str, cfg: FeatureConfig = FeatureConfig(),
-                    cues: DataFrame | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+def transform_texts(docs: DataFrame, path: str) -> DataFrame:
     """Features of new texts with a stored fit (raw-text scoring mode):
     ``docs`` = ``(doc_id, text)``; terms outside the stored vocabulary are
-    dropped, idf and selection come from the store. Returns packed rows
-    ``(doc_id, features)`` of the stored width."""
-    import json
-    import os
-
-    from ..operators.assemble import pack
+    dropped; idf, offsets, selection, toggles, lexicon and lemmas are those of the
+    store. Returns packed rows ``(doc_id, features)`` of the stored width."""
     spark = docs.sparkSession
     meta = json.loads(spark.read.text(os.path.join(path, "_manifest")).first().value)
+    params = meta["params"]
+    cfg = FeatureConfig.from_dict(params["features"])
+    cues = cues_frame(spark, params["lexicon"]) if params.get("lexicon") else None
+    lemmas = lemma_frame(spark, [tuple(x) for x in params["lemmas"]]) if params.get("lemmas") else None
     vocab = spark.read.parquet(os.path.join(path, "vocab"))
-    v_size = meta["n_features"] - (len(STAT_COLUMNS) if cfg.use_raw_feats else 0) \
-        - (1 if cfg.use_profanity_ratio and cues is not None else 0)
-    d = docs.withColumn("norm", normalise("text"))
-    p = cfg.tfidf
-    d_w = word_tokens(d, "norm", p, lemmas).repartition("doc_id")
-    d_w = d_w.select("doc_id", "wtok", "norm", char_kgrams("norm", p.char_ngrams[1]).alias("ctop"))
-    post = postings(d_w, block_terms(F.col("wtok"), F.col("norm"), p, F.col("ctop")))
-    long = weigh(post, vocab).select("doc_id", "idx", "w")
-    width = v_size
-    if cfg.use_raw_feats:
-        long = long.unionByName(dense_block_long(raw_text_stats(d, "text", ("doc_id",)), STAT_COLUMNS, width))
-        width += len(STAT_COLUMNS)
-    if cfg.use_profanity_ratio and cues is not None:
-        pr = profanity_ratio(d.select("doc_id", "norm"), cues, "norm")
-        long = long.unionByName(dense_block_long(pr, ["profanity_ratio"], width))
+    d = text_columns(docs.select("doc_id", "text"), cfg, cues, lemmas)
+    d_w, terms = term_arrays(d, cfg.tfidf)
+    long = weigh(postings(d_w, terms), vocab).select("doc_id", "idx", "w")
+    for b in _dense_blocks(d, cfg, meta["n_terms"], cfg.use_profanity_ratio and cues is not None)[0]:
+        long = long.unionByName(b)
     if cfg.selection:
         long = project(long, spark.read.parquet(os.path.join(path, "selected")))
     return pack(long, docs.select("doc_id"), meta["size"])

@@ -14,7 +14,7 @@ import hashlib
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.assemble import vector_schema
@@ -25,13 +25,21 @@ def one_line(obj) -> str:
     return json.dumps(obj, sort_keys=True, default=str)
 
 
+def row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def content_sums(hashed: DataFrame, col: str) -> dict:
+    """Order-free sums of row hashes: their number, XOR and sum (one aggregation)."""
+    r = hashed.agg(F.count("*").alias("n"), F.bit_xor(col).alias("x"),
+                   F.sum(F.col(col).cast("decimal(38,0)")).alias("s")).first()
+    return {"rows": int(r.n), "xor": int(r.x or 0), "sum": str(r.s or 0)}
+
+
 def content_signature(df: DataFrame) -> dict:
-    """Order-free signature of the rows a job uses: their number, and sum and
-    XOR of a 64-bit hash of all columns (one aggregation, three numbers)."""
-    rows = df.select(F.xxhash64(*[F.col(c) for c in df.columns]).alias("h"))
-    r = rows.agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"),
-                 F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
-    return {"columns": df.columns, "rows": int(r.n), "xor": int(r.x or 0), "sum": str(r.s or 0)}
+    """Order-free signature of the rows a job uses: their columns and the sums of
+    a 64-bit hash of all columns."""
+    return {"columns": df.columns, **content_sums(df.select(row_hash(df).alias("h")), "h")}
 
 
 def md5_prefix_signature(df: DataFrame, col: str) -> DataFrame:
@@ -43,7 +51,10 @@ def md5_prefix_signature(df: DataFrame, col: str) -> DataFrame:
 
 def signature(params: dict, inputs: dict[str, DataFrame]) -> dict:
     """All parameters and the content of every input, and one key of them."""
-    contents = {name: content_signature(df) for name, df in inputs.items()}
+    return keyed_signature(params, {name: content_signature(df) for name, df in inputs.items()})
+
+
+def keyed_signature(params: dict, contents: dict[str, dict]) -> dict:
     digest = hashlib.sha256()
     for kind, part in (("param", params), ("input", contents)):
         for name in sorted(part):
@@ -66,7 +77,7 @@ def save_feature_set(fs, path: str, sig: dict) -> None:
     fs.vocab.write.mode("overwrite").parquet(os.path.join(path, "vocab"))
     if fs.selected is not None:
         fs.selected.write.mode("overwrite").parquet(os.path.join(path, "selected"))
-    meta = dict(sig, n_features=fs.n_features, size=fs.size)
+    meta = dict(sig, n_features=fs.n_features, size=fs.size, n_terms=fs.n_terms)
     spark.createDataFrame([(one_line(meta),)], "value string").coalesce(1).write.mode(
         "overwrite").text(os.path.join(path, "_manifest"))
 
@@ -82,13 +93,21 @@ def load_features(spark: SparkSession, path: str, split: str | None = None) -> D
 
 def materialise(spark: SparkSession, base: str, params: dict, inputs: dict[str, DataFrame],
                 builder) -> tuple[str, dict, bool]:
-    """Load-if-fresh else build-and-save. Returns ``(path, manifest, hit)``."""
+    """Load-if-fresh else build-and-save. Returns ``(path, manifest, hit)``.
+
+    A feature set is filed under the rows that its own pass read: if a single input
+    changed between the look-up and the build, that is another key than the one
+    looked up."""
     sig = signature(params, inputs)
     path = os.path.join(base, sig["hash"])
     saved = _read_manifest(spark, path)
     if saved and saved.get("hash") == sig["hash"]:
         return path, saved, True
     fs = builder()
+    if len(inputs) == 1 and fs.content:
+        (name, looked_up), = sig["inputs"].items()
+        sig = keyed_signature(params, {name: {**looked_up, **fs.content}})
+        path = os.path.join(base, sig["hash"])
     try:
         save_feature_set(fs, path, sig)
     finally:
