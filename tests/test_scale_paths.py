@@ -1,6 +1,7 @@
 """Paths for large inputs against their small-input twins and plain versions."""
 
 import hashlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -80,8 +81,8 @@ def test_sketch_drops_only_rare_terms(spark, least, monkeypatch):
     docs = spark.createDataFrame([(d, ["all", "all", f"m{d % 20}", f"n{d % 60}", f"o{d}"]) for d in range(120)],
                                  "doc_id long, wtok array<string>")
     terms = F.transform("wtok", lambda t: F.struct(F.lit(0).alias("block"), t.alias("term")))
-    params = TfidfParams(min_df_word=least, min_df_char=least)
-    kept = rare_terms_filter(docs, terms, params)
+    params = TfidfParams(min_df_word=least, min_df_char=least, sketch_from=1)
+    kept = rare_terms_filter(docs, terms, params, characters=1)
     exact = {r.term: (r.df, r.ttf) for r in document_frequencies(postings(docs, terms)).collect()}
     got = {r.term: (r.df, r.ttf) for r in document_frequencies(postings(docs, terms, kept=kept)).collect()}
     assert got.items() <= exact.items()
@@ -90,15 +91,18 @@ def test_sketch_drops_only_rare_terms(spark, least, monkeypatch):
         assert len(got) < len(exact)
 
 
-def test_features_do_not_depend_on_the_sketch(spark, monkeypatch):
+def test_features_do_not_depend_on_the_sketch(spark):
     docs = read_labelled(spark, SF001)
     cfg = FeatureConfig(k_best=500, rank_digits=6)
+    sketched = replace(cfg, tfidf=TfidfParams(sketch_from=1))
     lemmas = lemma_frame(spark, [("things", "thing")])
     key = lambda fs: sorted((r.doc_id, r.idx, round(r.w, 9)) for r in fs.long.collect())
     want = key(build_features(docs, cfg, cues_frame(spark, ["idiot"]), lemmas))
-    import textlab.plans.features as features
-    monkeypatch.setattr(features, "rare_terms_filter", lambda *a: None)
-    assert key(build_features(docs, cfg, cues_frame(spark, ["idiot"]), lemmas)) == want
+    fs = build_features(docs, sketched, cues_frame(spark, ["idiot"]), lemmas)
+    assert key(fs) == want
+    # few terms that miss min_df have been stored
+    stored = document_frequencies(fs.postings.where("split = 'train'"))
+    assert stored.where("df < 3").count() < stored.count() / 20
 
 
 # ------------------------------------------------------------------ split

@@ -41,6 +41,7 @@ class TfidfParams:
     max_features_char: int | None = None
     use_lemmatizer: bool = True
     latin_only: bool = False       # lookup tokens are runs of A-Z and a-z, for a table of stems
+    sketch_from: int = 1 << 30     # characters of train text from which rare terms are sketched out first
 
     def min_df(self, block: int) -> int:
         return self.min_df_word if block == WORD else self.min_df_char
@@ -118,16 +119,21 @@ def term_hash(block: Column, term: Column) -> Column:
     return F.xxhash64(block, term)
 
 
-def rare_terms_filter(train: DataFrame, terms: Column, params: TfidfParams) -> Callable[[Column, Column], Column]:
+def rare_terms_filter(train: DataFrame, terms: Column, params: TfidfParams,
+                      characters: int) -> Callable[[Column, Column], Column] | None:
     """First pass of the fit: a predicate (block, term) that is false only for terms
     that cannot be in ``min_df`` train documents. Nothing is stored: the distinct
-    term hashes of each document are counted in a count-min sketch."""
+    term hashes of each document are counted in a count-min sketch.
+
+    The pass pays for itself where rare terms would be stored and shuffled in bulk, so
+    it is run on train texts of ``params.sketch_from`` ``characters`` or more; the exact
+    counts decide in any case."""
     least = min(params.min_df_word, params.min_df_char)
-    if least <= 1:
-        return lambda block, term: F.lit(True)
+    if least <= 1 or characters < params.sketch_from:
+        return None
     hashes = train.select(F.explode(F.array_distinct(F.transform(
         terms, lambda t: term_hash(t["block"], t["term"])))).alias("h"))
-    width = width_for(hashes.agg(F.approx_count_distinct("h", 0.1)).first()[0])
+    width = width_for(characters)
     bits = frequent_bits(hashes, least, width)
     return lambda block, term: may_be_frequent(term_hash(block, term), bits, width)
 

@@ -10,8 +10,8 @@ writing pass, but in Spark 4.1 a session that holds an ``Observation`` cannot be
 serialised, and every fitted ML model whose summary refers to it fails in its tasks.)
 
 The vocabulary is fitted in two passes: a count-min sketch of document frequencies
-drops terms that cannot reach ``min_df`` before any posting is stored, and the exact
-counts decide. Postings that are left are persisted (memory and disk; they can be
+drops terms that cannot reach ``min_df`` before any posting is stored (on large
+corpora, see ``rare_terms_filter``), and the exact counts decide. Postings that are left are persisted (memory and disk; they can be
 recomputed from the written rows) because they feed the counts and the weights.
 """
 
@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ngrams import char_kgrams
 from ..functions.normalize import normalise
@@ -85,6 +86,8 @@ class FeatureSet:
 
 
 KEEP = ("label", "split", "fold")
+#: Folds are numbered below this.
+MAX_FOLD_NUMBER = 127
 
 
 def text_columns(docs: DataFrame, cfg: FeatureConfig, cues: DataFrame | None, lemmas: DataFrame | None) -> DataFrame:
@@ -130,6 +133,30 @@ def _dense_blocks(rows: DataFrame, cfg: FeatureConfig, width: int, with_ratio: b
     return blocks, width
 
 
+_SPLITS = ("train", "val", "test")
+
+
+def _tags(plan) -> tuple[Column, Callable[[DataFrame], DataFrame]]:
+    """(label, split and fold as one integer, the way back to the columns). The classes
+    are those that the split plan counted."""
+    classes = sorted(plan.counts)
+    label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("label")).cast("int") - 1
+    split = F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
+    tag = (label * 3 + split) * (MAX_FOLD_NUMBER + 1) + F.coalesce(F.col("fold"), F.lit(MAX_FOLD_NUMBER))
+
+    def untag(df: DataFrame) -> DataFrame:
+        rest, fold = F.expr(f"tag div {MAX_FOLD_NUMBER + 1}").cast("int"), F.col("tag") % (MAX_FOLD_NUMBER + 1)
+        at = F.expr(f"tag div {3 * (MAX_FOLD_NUMBER + 1)}").cast("int")
+        return df.withColumns({"label": F.element_at(F.array(*[F.lit(c) for c in classes]), at + 1),
+                               "split": F.element_at(F.array(*[F.lit(x) for x in _SPLITS]), rest % 3 + 1),
+                               "fold": F.when(fold < MAX_FOLD_NUMBER, fold.cast("int"))}).drop("tag")
+    return tag.cast("int"), untag
+
+
+def _in_train(tag: Column) -> Column:
+    return F.floor(tag / (MAX_FOLD_NUMBER + 1)) % 3 == 0
+
+
 def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues: DataFrame | None = None,
                    lemmas: DataFrame | None = None) -> FeatureSet:
     """``docs`` = ``(doc_id, text, label)``."""
@@ -138,15 +165,18 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
     d = assign_split(rows, plan, hashed="key")
     keys = d.select("doc_id", *KEEP)
 
-    # TF-IDF blocks (F1-F11).
+    # TF-IDF blocks (F1-F11). A document's label, split and fold go along as one number.
     p = cfg.tfidf
-    d_w, terms = term_arrays(d, p, KEEP)
+    tags, untag = _tags(plan)
+    d_w, terms = term_arrays(d.withColumn("tag", tags), p, ("tag",))
     in_train = F.col("split") == "train"
-    kept = rare_terms_filter(d_w.where(in_train), terms, p)
-    post = postings(d_w, terms, keep=KEEP, kept=kept).persist(StorageLevel.MEMORY_AND_DISK)
+    train = d_w.where(_in_train(F.col("tag")))
+    characters = d.where(in_train).agg(F.sum(F.length("norm"))).first()[0] or 0
+    kept = rare_terms_filter(train, terms, p, characters)
+    post = postings(d_w, terms, keep=("tag",), kept=kept).persist(StorageLevel.MEMORY_AND_DISK)
     n_train = sum(n_test_val[2] for n_test_val in plan.sizes.values())
-    vocab = fit_vocab(post.where(in_train), n_train, p, blocks=(WORD, CHAR))
-    w = weigh(post, vocab, keep=KEEP).select("doc_id", *KEEP, "idx", "w")
+    vocab = fit_vocab(post.where(_in_train(F.col("tag"))), n_train, p, blocks=(WORD, CHAR))
+    w = untag(weigh(post, vocab, keep=("tag",))).select("doc_id", *KEEP, "idx", "w")
     n_terms = vocab.count()
     dense, width = _dense_blocks(d, cfg, n_terms, cfg.use_profanity_ratio and cues is not None, KEEP)
     long = w
@@ -166,7 +196,7 @@ def build_features(docs: DataFrame, cfg: FeatureConfig = FeatureConfig(), cues:
         long = project(long, selected)
         size = min(cfg.k_best, width)
     return FeatureSet(long=long, docs=keys, vocab=vocab, selected=selected, content=content_sums(rows, "row_hash"),
-                      n_features=width, size=size, n_terms=n_terms, tfidf=w, assembled=assembled, postings=post,
+                      n_features=width, size=size, n_terms=n_terms, tfidf=w, assembled=assembled, postings=untag(post),
                       persisted=[assembled, post] + ([selected, scores] if selected is not None else []))
 
 
