@@ -58,6 +58,41 @@ def _planted(spark):
     return rows, vector_schema(rows)
 
 
+@pytest.mark.parametrize("name", ["logreg", "lsvc"])
+def test_batched_search_equals_one_by_one(spark, tmp_path, monkeypatch, name):
+    """Same mean F1 where features decide the label but for some noise."""
+    import numpy as np
+    from textlab.operators.batched import fit_folds
+    from textlab.operators.assemble import vector_schema
+    rng = np.random.default_rng(3)
+    data = []
+    for i in range(150):
+        label = int(rng.random() < 0.4)
+        hint = label if rng.random() < 0.85 else 1 - label
+        idx = sorted({hint, int(rng.integers(2, 6)), int(rng.integers(2, 6))})
+        data.append((i, label, i % 3, (0, 6, idx, [1.0 + 0.5 * (j > 1) for j in idx])))
+    rows = spark.createDataFrame(
+        data, "doc_id long, label int, fold int, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>")
+    schema, path = vector_schema(rows), str(tmp_path / "rows")
+    rows.repartition(3).write.parquet(path)
+    rows, vectors = spark.read.parquet(path), spark.read.schema(schema).parquet(path)
+    base = ModelSpec(name, max_iter=50)
+    given = {"logreg": [{"C": 1.0, "penalty": "l2", "class_weight": "balanced", "tol": 1e-5},
+                        {"C": 0.5, "penalty": "l1", "class_weight": None, "tol": 1e-5}],
+             "lsvc": [{"C": 1.0, "loss": "squared_hinge", "class_weight": "balanced", "tol": 1e-5},
+                      {"C": 0.3, "loss": "hinge", "class_weight": None, "tol": 1e-5}]}[name]
+    monkeypatch.setattr(tune, "candidates", lambda *a: given)
+    args = (rows, vectors, 6, base, 2, 11)
+    _, many = tune.cv_search(*args)
+    _, single = tune.cv_search(*args, batched=False, parallelism=6)
+    got, want = ({r.params: r.mean_f1 for r in t.collect()} for t in (many, single))
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 0.02 for p in got)
+    specs = [ModelSpec(name, max_iter=8).with_params(c) for c in candidates(name, 15, 4)]
+    f1, passes = fit_folds(rows, 6, specs, [0, 1, 2])
+    assert f1.shape == (15, 3) and f1.max() > 0.7
+    assert passes < 45  # fewer jobs than fits
+
+
 def test_search_fits_every_candidate_as_stated(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "rows")
     rows, schema = _planted(spark)
@@ -66,8 +101,8 @@ def test_search_fits_every_candidate_as_stated(spark, tmp_path, monkeypatch):
     assert {c["loss"] for c in candidates("lsvc", 20, 1)} == {"hinge", "squared_hinge"}
     seed = next(s for s in range(99) if len({c["loss"] for c in candidates("lsvc", 2, s)}) == 2)
     losses = []
-    real = tune.fit_squared_hinge
-    monkeypatch.setattr(tune, "fit_squared_hinge", lambda r, n, spec, label: losses.append(spec.loss) or real(r, n, spec, label))
+    real = tune.fit_folds
+    monkeypatch.setattr(tune, "fit_folds", lambda r, n, specs, *a: losses.extend(s.loss for s in specs) or real(r, n, specs, *a))
     for name in ("logreg", "lsvc", "pac"):
         n = 2 if name == "lsvc" else 1
         best, results = tune.cv_search(rows, vectors, 4, ModelSpec(name), n_iter=n, seed=seed, parallelism=6)
@@ -75,7 +110,7 @@ def test_search_fits_every_candidate_as_stated(spark, tmp_path, monkeypatch):
         assert len(table) == n and best["best_score_cv"] == max(r.mean_f1 for r in table) > 0.9
         if name == "lsvc":
             stated = [json.loads(r.params)["loss"] for r in table]
-            assert stated.count("squared_hinge") == 1 and len(losses) == 3
+            assert stated.count("squared_hinge") == 1 and losses[-2:] == stated
 
 
 def test_search_is_skipped_where_parameters_are_saved(spark, tmp_path, monkeypatch):

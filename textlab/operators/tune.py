@@ -2,9 +2,10 @@
 
 Candidates are drawn, seeded, from the reference's search spaces
 (log-uniform C and tol, categorical penalty / loss / class weight / average)
-and fitted on the stored stratified folds, ``parallelism`` fits at a time. Each
-fit takes its penalty and its balanced weights from the rows it is given. A
-candidate's score is its mean F1 of class 1 over the folds; ``train`` refits
+and fitted on the stored stratified folds: logistic regression and SVM all in the
+same passes over the rows (``operators.batched``), passive-aggressive models
+``parallelism`` at a time. Each fit takes its penalty and its balanced weights from
+the rows it is given. A candidate's score is its mean F1 of class 1 over the folds; ``train`` refits
 the best on all train rows. The Gaussian-process proposal step of a Bayesian
 search is not reproduced: this is seeded random search.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..sources.io import write_csv
+from .batched import fit_folds
 from .models import ModelSpec, fit, scores
 from .passive_aggressive import PAParams, fit_pa, pa_scores
 from .squared_hinge import fit_squared_hinge
@@ -82,11 +84,12 @@ def fit_scorer(rows: DataFrame, vectors: DataFrame, size: int, spec: ModelSpec,
 
 
 def cv_search(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, n_iter: int = 15, seed: int = 1337,
-              parallelism: int = 4, fold_col: str = "fold", label: str = "label"):
+              parallelism: int = 4, fold_col: str = "fold", label: str = "label", batched: bool | None = None):
     """Returns ``(best, results)``: the best candidate's mean F1 and parameters,
     and the table ``(candidate, params, mean_f1)``, which states the loss that
     each candidate was fitted with. ``rows`` and ``vectors`` are two typings of
-    the train rows (see :func:`fit_scorer`); the caller refits."""
+    the train rows (see :func:`fit_scorer`); the caller refits. ``batched`` False fits
+    every model by itself."""
     folds = sorted(r[0] for r in rows.select(fold_col).distinct().limit(MAX_FOLDS + 1).collect())
     if not 2 <= len(folds) <= MAX_FOLDS:
         raise ValueError(f"a search takes 2 to {MAX_FOLDS} folds, not {len(folds)}")
@@ -101,9 +104,14 @@ def cv_search(rows: DataFrame, vectors: DataFrame, size: int, base: ModelSpec, n
         return evaluator.evaluate(judged.withColumn("prediction", F.col("prediction").cast("double")))
 
     spark: SparkSession = rows.sparkSession
-    with ThreadPool(parallelism) as pool:
-        f1 = pool.map(inheritable_thread_target(spark)(one), [(c, f) for c in cands for f in folds], chunksize=1)
-    mean = np.reshape(f1, (len(cands), len(folds))).mean(axis=1)
+    if batched is None:
+        batched = base.name != "pac"
+    if batched:
+        mean = fit_folds(rows, size, [base.with_params(c) for c in cands], folds, fold_col, label)[0].mean(axis=1)
+    else:
+        with ThreadPool(parallelism) as pool:
+            f1 = pool.map(inheritable_thread_target(spark)(one), [(c, f) for c in cands for f in folds], chunksize=1)
+        mean = np.reshape(f1, (len(cands), len(folds))).mean(axis=1)
     best = int(np.argmax(mean))
     results = spark.createDataFrame(
         [(i, json.dumps(c, sort_keys=True), float(a)) for i, (c, a) in enumerate(zip(cands, mean))],

@@ -452,7 +452,7 @@ def q_model_errors(spark, sf):
 
 from ..operators.tune import cv_search  # noqa: E402
 
-CV_ITER = 2
+CV_ITER = 15
 
 
 def train_rows(spark, sf):

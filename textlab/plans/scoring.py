@@ -29,7 +29,8 @@ PARTS = ("vocab", "selected", "weights")
 def weight_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """``(idx, w)`` of a fitted linear pipeline; the last index is the intercept's."""
     last = model.stages[-1]
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(last.coefficients.toArray()) if v], "idx long, w double")
+    weights = [*last.coefficients.toArray(), last.intercept]
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(weights) if v], "idx long, w double")
 
 
 class _Writer(DefaultParamsWriter):
