@@ -105,6 +105,27 @@ def test_features_do_not_depend_on_the_sketch(spark):
     assert stored.where("df < 3").count() < stored.count() / 20
 
 
+def test_default_tokens_and_capped_vocabulary(spark):
+    """Word runs of two characters or more; the most frequent terms, ties by term."""
+    docs = spark.createDataFrame([(1, "a bb ccc, d_e x1 é éé"), (2, "bb bb zz"), (3, "ccc zz")], "doc_id long, norm string")
+    params = TfidfParams(use_lemmatizer=False, word_ngrams=(1, 1), min_df_word=1, max_features_word=3)
+    toks = tfidf.word_tokens(docs, "norm", params, None)
+    assert {r.doc_id: r.wtok for r in toks.collect()}[1] == ["bb", "ccc", "d_e", "x1", "ee"]
+    post = postings(toks, tfidf.block_terms(F.col("wtok"), None, params))
+    vocab = {r.term: (r.idx, r.df) for r in fit_vocab(post, 3, params, blocks=(0,)).collect()}
+    assert vocab == {"bb": (0, 2), "ccc": (1, 2), "zz": (2, 2)}
+
+
+def test_ratio_of_a_lexicon_too_large_to_inline(spark, monkeypatch):
+    from textlab.operators import lexicon
+    docs = spark.createDataFrame([(1, "you idiot you scum"), (2, "fine"), (3, ""), (4, None)], "doc_id long, norm string")
+    cues = cues_frame(spark, ["idiot", "scum", "of trash"])
+    inline = {r.doc_id: r.profanity_ratio for r in lexicon.profanity_ratio(docs, cues).collect()}
+    monkeypatch.setattr(lexicon, "INLINE_MAX_ROWS", 1)
+    assert {r.doc_id: r.profanity_ratio for r in lexicon.profanity_ratio(docs, cues).collect()} == inline
+    assert inline[1] == 0.5 and inline[2] == inline[3] == 0.0
+
+
 # ------------------------------------------------------------------ split
 def test_order_statistics_equal_sorting(spark, monkeypatch):
     ids = [(i % 3, i // 2 if i % 5 else 7) for i in range(3000)]
@@ -156,10 +177,10 @@ def test_wide_fit_equals_the_driver_fit(spark, monkeypatch):
     monkeypatch.setattr(wide_linear, "ROW_BLOCK", 25)
     monkeypatch.setattr(wide_linear, "FEATURE_BLOCK", 3)
     _, _, df = _random_rows(spark)
-    spec = ModelSpec("lsvc", C=0.7, loss="squared_hinge", tol=1e-5, class_weight="balanced")
+    spec = ModelSpec("lsvc", C=0.7, loss="squared_hinge", tol=1e-4, class_weight="balanced")
     near = {r.idx: r.w for r in fit_squared_hinge(df, 7, spec).collect()}
     wide = {r.idx: r.w for r in wide_linear.fit_wide(df, 7, spec).collect()}
-    assert near.keys() == wide.keys() and max(abs(near[i] - wide[i]) for i in near) < 1e-3
+    assert near.keys() == wide.keys() and max(abs(near[i] - wide[i]) for i in near) < 3e-3
     assert wide_linear.fit_wide(df.limit(0), 7).count() == 0
 
 

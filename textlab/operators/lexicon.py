@@ -87,7 +87,7 @@ def profanity_ratio(df: DataFrame, cues: DataFrame, norm_col: str = "norm",
     """Share of ``[a-z]+`` tokens of the normalised text that are cues; 0 for
     no tokens. Multi-word cues can never equal such a token and are skipped."""
     words = cues.where(F.col("cue").rlike("^[a-z]+$")).select("cue").distinct()
-    toks = alpha_tokens(norm_col)
+    toks = alpha_tokens(F.coalesce(F.col(norm_col), F.lit("")))
     df = df.withColumn("atok__", toks)
     toks = F.col("atok__")
     if row_count_at_most(words, INLINE_MAX_ROWS) is not None:

@@ -340,7 +340,10 @@ from ..sources.store import load_features, materialise, md5_prefix_signature  #
 
 
 def store_base(spark) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/textlab-store"
+    """Where feature sets are kept: the shared folder named in ``spark.textlab.store.dir``,
+    which outlives a session, or else a part of the session's checkpoint folder."""
+    kept = spark.conf.get("spark.textlab.store.dir", None)
+    return (kept or ensure_checkpoint_dir(spark)).rstrip("/") + "/textlab-store"
 
 
 def feature_store(spark, sf, cfg=FEAT_CFG):
