@@ -13,10 +13,11 @@ Groups are never expanded into pairs:
 2. a band value or a table key that one class alone has is dropped;
 3. each class is compared with one pivot (the smallest class it shares a table
    bucket with), and links give components;
-4. classes of buckets that still hold several components are joined exactly
-   by prefix filtering, and confirmed pairs of different components are links.
-   So no candidate link is skipped, and a group of copies costs one comparison
-   a class.
+4. classes of buckets that still hold several components are compared with a few
+   more pivots each, chosen by hash;
+5. what still lies in buckets of several components is joined exactly by prefix
+   filtering, and confirmed pairs of different components are links. So no
+   candidate link is skipped, and a group of copies costs a few comparisons a class.
 
 Text handling: A-Z lower-cased, words are runs of non-white-space bytes, a set
 holds 64-bit hashes of the distinct k-word shingles.
@@ -135,11 +136,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return (pairs.join(one, "r").join(two, "p")
             .withColumn("i", both)
             .where(100 * F.col("i") >= percent * (F.size("sr") + F.size("sp") - F.col("i")))
-            .select("p", "r"))
+            .select(*pairs.columns))
 
 
 def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(p, r): pairs of different components that may reach the threshold, by
+    """(p, r, cp, cr): pairs of different components that may reach the threshold, by
     prefix filtering (Chaudhuri et al., 2006) with positions (Xiao et al., 2008).
 
     Every set is ordered by the same order, rare shingles first. Two sets that
@@ -161,13 +162,49 @@ def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                   (F.col("a.component") != F.col("b.component")) &
                   (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) &
                   ((100 + percent) * after >= percent * (F.col("a.n") + F.col("b.n")))).select(
-        F.col("a.rep").alias("p"), F.col("b.rep").alias("r")).distinct()
+        F.col("a.rep").alias("p"), F.col("b.rep").alias("r"),
+        F.col("a.component").alias("cp"), F.col("b.component").alias("cr")).distinct()
+
+
+def _state(keyed: DataFrame, group: DataFrame) -> DataFrame:
+    """(key, rep, n, component) of the table entries whose bucket holds several components."""
+    state = written(keyed.join(group.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "key", "rep", "n", F.coalesce("component", "rep").alias("component")), "state")
+    split = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    open_ = written(state.join(split.select("key"), "key", "left_semi"), "state")
+    drop_written(state)
+    return open_
+
+
+def _further_pivots(open_: DataFrame, percent: int, most: int) -> DataFrame:
+    """(p, r, cp, cr): each class with up to ``most`` classes of other components that
+    are the pivot, chosen by hash, of a bucket it lies in."""
+    pivot = open_.groupBy("key").agg(F.min(F.struct(
+        F.xxhash64("key", "rep").alias("o"), "rep", "n", "component")).alias("p"))
+    fits = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
+    chosen = F.slice(F.sort_array(F.collect_set(F.struct(
+        F.xxhash64("rep", "p.rep").alias("o"), F.col("p.rep").alias("rep"), F.col("p.component").alias("c")))), 1, most)
+    return (open_.join(pivot, "key").where((F.col("p.component") != F.col("component")) & fits)
+            .groupBy("rep", "component").agg(chosen.alias("q")).select("rep", "component", F.explode("q").alias("q"))
+            .select(F.col("q.rep").alias("p"), F.col("rep").alias("r"), F.col("q.c").alias("cp"),
+                    F.col("component").alias("cr")))
+
+
+def _merged(group: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after links (cp, cr) between them; a class that was none of an
+    edge is a component of its own name."""
+    over = connected_components(links.select("cp", "cr").distinct(), "cp", "cr")
+    old = over.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    moved = group.join(old, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    alone = over.join(group.select("id"), "id", "left_anti").select("id", "component")
+    return written(moved.unionByName(alone), "components")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = 3, recall: float = 0.999,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    pivots: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, class_id (the smallest doc_id
-    with an equal set), component_id, kept, text_key (64-bit hash of the text)."""
+    with an equal set), component_id, kept, text_key (64-bit hash of the text).
+    ``pivots`` changes the work only: what it leaves open is joined exactly."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("text_key"))
     tables = tables_needed(percent / 100, rows, recall)
@@ -199,20 +236,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     links_to_pivots = written(_confirmed(first, sets, percent), "links")
     group = connected_components(links_to_pivots, "p", "r")
 
+    # Most classes of a large group miss the first pivot only; some of the next ones link them.
+    live = keyed.join(pivot.select("key"), "key", "left_semi")
+    open_ = _state(live, group)
+    second = written(_confirmed(written(_further_pivots(open_, percent, pivots), "pairs"), sets, percent), "links")
+    group = _merged(group, second)
     # Classes of buckets that still hold several components: exact join of those, in place of all pairs.
-    state = written(keyed.join(pivot.select("key"), "key", "left_semi").join(
-        group.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")), "state")
-    split = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = state.join(split.select("key"), "key", "left_semi").select("rep", "component").distinct()
-    more = written(_rest(open_, sets, percent), "pairs")
-    links = written(links_to_pivots.union(_confirmed(more, sets, percent)), "links")
-    group = connected_components(links, "p", "r")
-    drop_written(state)
-    drop_written(keyed)
-    drop_written(sets)
-
-    for table in (first, links_to_pivots, more):
+    still = _state(live, group)
+    more = written(_rest(still.select("rep", "component").distinct(), sets, percent), "pairs")
+    third = written(_confirmed(more, sets, percent), "links")
+    group = _merged(group, third)
+    for table in (open_, still, keyed, sets, first, links_to_pivots, second, more, third):
         drop_written(table)
     members = written(classes.select("h1", "h2", F.col("n").alias("n_"), "rep", F.col("least.doc_id").alias("class_id")).join(
         group.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "members")

@@ -260,7 +260,7 @@ with l as (select doc_id, coalesce(source, '') as host, unnest(string_split(text
 k as (select *, trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    ')) as bare from l),
 tot as (select coalesce(source, '') as host, count(*) as pages from documents group by 1),
 frequent as (select host, bare, true as is_bad from k join tot using (host) where bare <> '' group by host, bare, pages
-        having count(distinct doc_id) >= 5 and count(distinct doc_id) > 0.05::double * pages),
+        having count(distinct doc_id) >= 2 and count(distinct doc_id) > 0.05::double * pages),
 m as (select doc_id, pos, line, coalesce(is_bad, false) as is_bad from k left join frequent using (host, bare)),
 r as (select doc_id, count(*) filter (where is_bad) as n_dropped,
              coalesce(string_agg(line, chr(10) order by pos) filter (where not is_bad), '') as cleaned from m group by doc_id)
