@@ -25,12 +25,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicates count as one page of a host: a group of copies keeps the
-    lines that only it has, and the next stage keeps one of the group."""
-    near = neardup.near_duplicates(docs.select(sitelines.row_key().alias("row"), "text"), id_col="row")
-    classes = written(near.where("not kept").select(
-        F.col("doc_id").alias("row"), F.col("component_id").alias("class")).distinct(), "copies")
-    return sitelines.drop_site_lines(docs, classes=classes).select(*docs.columns)
+    """Copies count as one page of a host: a group of them keeps the lines that only it
+    has, and the next stage keeps one of the group. Every other page loses all
+    boilerplate lines of its host, however short it becomes."""
+    return sitelines.drop_site_lines(docs, fold_copies=True).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
