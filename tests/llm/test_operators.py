@@ -14,7 +14,7 @@ from textlab.llm.queries import PIECE_MODEL, WORD_TOKENIZER, held_out, tokenizer
 
 WORDS = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("n", "rt", "sé", "st")]
 ODD = ["", "  a  b ", "a\nb\tc.d's", "é é. İ..x,y I'LL don't.'s", "日本語 😀  ▁▁ x", "a" * 3000, " " * 40,
-       "Σας x²3½ K.", "\x1c\x85a\xa0b", "<|endoftext|> <s> <0x0A>", "MENTRÉ. Über÷×"]
+       "Σας x²3½ K.", "\x1c\x85a\xa0b", "<|endoftext|> <s> <0x0A>", "A b<|endoftext|>C <|STARTOFTEXT|><|startoftext|>", "MENTRÉ. Über÷×"]
 
 
 def prose(rng, n):
@@ -29,8 +29,7 @@ def test_records_round_trip(spark, documents):
     from tokenizers import Tokenizer
     path = tokenizer_path(WORD_TOKENIZER)
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    rows = [(i * 3 % 11, t, "s") for i, t in enumerate(ODD)] + [(99, None, None), (None, "x", None), (5, "dup", "s"), (5, "dup", "s")]
+    rows = [(i * 3 % 13, t, "s") for i, t in enumerate(ODD)] + [(99, None, None), (None, "x", None), (5, "dup", "s"), (5, "dup", "s")]
     out = records.token_records(documents(rows), path).collect()
     assert len(out) == len(rows)
     start = 0

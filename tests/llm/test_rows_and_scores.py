@@ -109,3 +109,41 @@ def test_scores_equal_a_plain_sum_over_grams(spark):
     assert sum(got[i].predicted == t for i, _, t in rows) > 140
     assert got[900].score == got[901].score and not got[902].predicted
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_item_of_more_words_than_a_short_integer_holds(documents, spark):
+    from textlab.llm import decontaminate
+    rng = random.Random(3)
+    item = " ".join(f"w{rng.randrange(10**7)}" for _ in range(33_000))
+    docs = documents([(1, "before it " + item + " after", "s"), (2, "clean text of some words", "s"), (3, None, "s")])
+    bench = spark.createDataFrame([(7, item), (8, None), (9, "")], "item_id long, text string")
+    got = [tuple(r) for r in decontaminate.benchmark_matches(docs, bench).collect()]
+    assert got == [(1, 7, 2, 33_000, 0)]
+
+
+def test_blocks_of_items_one_after_another(documents, spark, monkeypatch):
+    from textlab.llm import decontaminate
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
+    rng = random.Random(4)
+    items = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(25)) for _ in range(5)]
+    docs = documents([(i, f"x {t} y", "s") for i, t in enumerate(items)] + [(50, "none of them here", "s"), (51, None, "s")])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.benchmark_matches(docs, bench).collect())
+    assert got == [(i, i) for i in range(5)]
+    assert sorted(r["doc_id"] for r in decontaminate.clean_documents(docs, bench).collect()) == [50, 51]
+
+
+def test_licence_unit_shorter_than_its_template(documents):
+    from textlab.llm import licenses
+    docs = documents([(1, "a b c", "s"), (2, "a b", "s"), (3, None, "s")])
+    out = licenses.scan_licenses(docs, templates=(("T", "a b c d"),)).collect()
+    assert [(r["doc_id"], r["shared"], r["unit_bigrams"]) for r in out] == [(1, 2, 2)]
+
+
+def test_phrases_are_whole_words(documents):
+    from textlab.llm import linequality
+    lines = ["We assign in this design in the given way what we can.", "In terms of usefulness it is a good thing to have.",
+             "Please sign in to read on.", "By our Terms of Use you agree."]
+    got = {r["doc_id"]: r["n_lines_failed"] for r in linequality.clean_lines(
+        documents([(i, t, "s") for i, t in enumerate(lines)])).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1}

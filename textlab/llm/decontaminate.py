@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.llm.shared import ragged, row_chunks, text_column
+from textlab.llm.shared import ragged, row_chunks, text_column, written
 from textlab.llm.spans import ALNUM, LOWER, grams, mix, span_hash, word_spans
 
 BLOCK_ITEMS = 5_000
@@ -84,8 +84,9 @@ def lsh_keys(seqs: np.ndarray, walks: int, tables: int, sampled: int) -> np.ndar
 def edit_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Levenshtein distance of the rows of x (rows, a) and y (rows, b)."""
     a, b = x.shape[1], y.shape[1]
-    prev = np.broadcast_to(np.arange(b + 1, dtype=np.int16), (len(x), b + 1)).copy()
-    steps = np.arange(b + 1, dtype=np.int16)
+    kind = np.int16 if a + b < 2**15 else np.int32
+    prev = np.broadcast_to(np.arange(b + 1, dtype=kind), (len(x), b + 1)).copy()
+    steps = np.arange(b + 1, dtype=kind)
     for i in range(1, a + 1):
         cur = np.empty_like(prev)
         cur[:, 0] = i
@@ -243,8 +244,11 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, similarity: float =
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, first_word long, n_words long, distance long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = spark.createDataFrame([], schema)
+    out, shared = spark.createDataFrame([], schema), None
     for index in _indexes(benchmark, similarity, walks, tables, sampled):
+        if shared is not None:  # one block's index at a time
+            out = written(out, "matches")
+            shared.destroy()
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
@@ -268,7 +272,11 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, similarity: float =
 def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks: int = 4,
                     tables: int = 32, sampled: int = 2) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text holds no benchmark item."""
+    shared = None
     for index in _indexes(benchmark, similarity, walks, tables, sampled):
+        if shared is not None:  # one block's index at a time
+            docs = written(docs, "clean")
+            shared.destroy()
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):

@@ -106,8 +106,8 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.8, templates=TEMPLATES,
         .select(F.col(id_col).alias("doc_id"),
                 F.explode(F.filter(numbered, lambda x: holds_anchors(x["unit_text"], wanted))).alias("u"))
         .select("doc_id", "u.unit", "u.unit_text")
-        # A bigram has at least three characters and a space at most follows each.
-        .where(F.length("unit_text") >= 4 * least - 1))
+        # n bigrams take n + 1 words of a character or more and n separators.
+        .where(F.length("unit_text") >= 2 * least + 1))
     # Words lie between single separators after normalising, so counting them first prunes by size cheaply.
     norm = F.trim(F.regexp_replace(F.lower("unit_text"), r"[^\p{L}\p{N}]+", " "))
     sized = units.withColumn("norm", norm).where(

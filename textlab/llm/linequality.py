@@ -25,6 +25,8 @@ _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 BOILERPLATE = ("all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service",
                "enable javascript", "lorem ipsum", "subscribe to our newsletter", "click here", "sign in",
                "powered by", "share this")
+#: A phrase counts as whole words only.
+PHRASE = r"(^|[^\p{L}])(" + "|".join(BOILERPLATE) + r")($|[^\p{L}])"
 CLOSING = r"""[.!?:;…。！？"'”’»)\]]\s*$"""
 NAVIGATION = r"([|›»→>•·].*){3}"
 
@@ -35,7 +37,7 @@ def symbols(c: Column) -> Column:
 
 def line_passes(line: Column) -> Column:
     return (line.rlike(CLOSING) & (20 * symbols(line) <= F.length(line)) & ~line.rlike(NAVIGATION) &
-            ~F.lower(line).rlike("|".join(BOILERPLATE)))
+            ~F.lower(line).rlike(PHRASE))
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:

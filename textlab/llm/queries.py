@@ -207,7 +207,7 @@ select page_id, payload_bytes, payload_digest,
 from d left join o using (payload_digest, payload_bytes)
 """
 
-_PHRASES = "|".join(linequality.BOILERPLATE)
+_PHRASES = linequality.PHRASE
 _CLOSING = linequality.CLOSING.replace("'", "''")
 
 OP6_SQL = rf"""

@@ -113,6 +113,7 @@ def text_units(u8: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 _STORES: dict[str, UnitStore] = {}
+_WHOLE: dict[str, tuple] = {}
 
 
 def unit_store(path: str) -> UnitStore:
@@ -120,7 +121,9 @@ def unit_store(path: str) -> UnitStore:
     if path not in _STORES:
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        whole = Tokenizer.from_file(path)
+        # Units are ordinary text; a text with the string of a special token is encoded whole.
+        tok.encode_special_tokens = True
 
         def encode_new(u8, starts, ends):
             raw = u8.tobytes()
@@ -132,16 +135,43 @@ def unit_store(path: str) -> UnitStore:
             return flat, n
 
         _STORES[path] = UnitStore(encode_new)
+        _WHOLE[path] = (whole, [t.content.encode("utf-8") for t in whole.get_added_tokens_decoder().values()])
     return _STORES[path]
 
 
-def encode_rows(store: UnitStore, u8: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def rows_with_special(raw: bytes, offs: np.ndarray, strings: list[bytes]) -> list[int]:
+    """The rows that hold one of the strings."""
+    rows = set()
+    for x in strings:
+        at = raw.find(x)
+        while at >= 0:
+            row = int(np.searchsorted(offs, at, "right")) - 1
+            if at + len(x) <= offs[row + 1]:
+                rows.add(row)
+                at = raw.find(x, int(offs[row + 1]))
+            else:  # it begins in one row and ends in another
+                at = raw.find(x, at + 1)
+    return sorted(rows)
+
+
+def encode_rows(tokenizer: str, u8: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(flat ids, row offsets into them) of the texts of a chunk."""
+    store = unit_store(tokenizer)
+    whole, strings = _WHOLE[tokenizer]
+    raw = u8.tobytes()
+    special = rows_with_special(raw, offs, strings)
     u8 = lowered(u8)
     starts, ends = text_units(u8, offs)
     flat, n = store.ids(u8, starts, ends)
     row_first = np.searchsorted(starts, offs)
-    return flat, offsets_of(n)[row_first]
+    cut = offsets_of(n)[row_first]
+    if not special:
+        return flat, cut
+    parts = [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    for r in special:
+        text = raw[offs[r]:offs[r + 1]].decode("utf-8")
+        parts[r] = np.array(whole.encode(text, add_special_tokens=False).ids, flat.dtype)
+    return np.concatenate(parts), offsets_of(np.array([len(x) for x in parts]))
 
 
 # ---- files ----------------------------------------------------------------
@@ -162,7 +192,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, voc
     def write(batches):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        store, part = unit_store(tokenizer), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         out = index = None
         at = n_docs = n_tokens = 0
         first = None
@@ -176,7 +206,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, voc
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     out, index, first = fs.open_output_stream(tmp), fs.open_output_stream(f"{tmp}.idx"), int(ids[lo])
-                flat, cut = encode_rows(store, data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
+                flat, cut = encode_rows(tokenizer, data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 body = flat.astype(wide).tobytes()
                 frames, entry = [], np.zeros(hi - lo, _INDEX)
                 for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())):
