@@ -78,3 +78,37 @@ def test_join_path_equals_inline(spark, monkeypatch):
     monkeypatch.setattr(lx, "INLINE_MAX_ROWS", 20000)
     b = {r.doc_id: r.profanity_ratio for r in profanity_ratio(dn, cues_frame(spark, LEXICON_WORDS)).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_anchor_index_of_a_large_lexicon(spark):
+    """100,000 cues of one to five tokens against a plain search; one token is in every text."""
+    import random
+    rng = random.Random(8)
+    vocab = [f"t{i}" for i in range(3000)]
+    texts = [" ".join(["the"] + rng.choices(vocab, k=rng.randrange(0, 25))) for _ in range(300)]
+    texts += [None, "", " ", "the", "the the", "t1 " * 400]
+    cues = {" ".join(rng.choices(vocab, k=rng.randrange(2, 6))) for _ in range(99_900)}
+    cues |= {f"the {w}" for w in vocab[:40]} | {" ".join(t.split()[2:5]) for t in texts[:30] if len(t.split()) > 5}
+    cues |= {"t1 t1 t1", "absent", "t2999"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = spark.createDataFrame([(c,) for c in sorted(cues)] + [("absent",)], "cue string")
+    got = {r.doc_id: r.prediction for r in lexicon_flag(df, frame, assume_normalised=True).collect()}
+
+    def holds(t):
+        w = (t or "").split()
+        return int(any(" ".join(w[i:i + k]) in cues for k in range(1, 6) for i in range(len(w) - k + 1)))
+    want = {i: holds(t) for i, t in enumerate(texts)}
+    assert got == want and 20 < sum(want.values()) < len(texts) - 20
+
+
+def test_anchor_is_the_rarest_token(spark, monkeypatch):
+    import textlab.operators.lexicon as lx
+    words = spark.createDataFrame([(d, w) for d, t in enumerate(["a b c", "a b", "a"]) for w in t.split()], "doc_id long, anchor string")
+    structs = lexicon_structs(spark.createDataFrame([("a b",), ("b c a",), ("a",), ("a z",), ("c b",)], "cue string"))
+    got = sorted(tuple(r) for r in lx.anchor_index(words, structs).collect())
+    assert got == [("a", 3, "a", 1), ("b", 2, "a b", 2), ("c", 1, "b c a", 3), ("c", 1, "c b", 2)]
+    monkeypatch.setattr(lx, "HOT_ANCHORS", 1)
+    monkeypatch.setattr(lx, "INLINE_MAX_ROWS", 1)
+    df = spark.createDataFrame([(0, "a b c"), (1, "b a"), (2, "c b"), (3, "z")], "doc_id long, text string")
+    cues = spark.createDataFrame([("a b",), ("c b",), ("a z",)], "cue string")
+    assert {r.doc_id: r.prediction for r in lexicon_flag(df, cues).collect()} == {0: 1, 1: 0, 2: 1, 3: 0}

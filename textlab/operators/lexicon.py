@@ -3,9 +3,9 @@
 A lexicon of checked small size is compiled into the projection itself:
 ``exists(tokens, t -> t IN (...))`` becomes a hashed ``InSet`` evaluated once
 per token, so flagging is map-only (no explode, no shuffle) and stops at the
-first hit. A lexicon above the inline bound is joined instead: distinct
-k-grams per document are semi-joined with the cue table (broadcast after a
-size check, else a shuffle join) and the hits are joined back by key.
+first hit. A lexicon above the inline bound goes through an anchor index: every cue is
+filed under its rarest token, documents meet the cues of the tokens they hold, and
+only those phrases are looked for in the text; hits are joined back by key.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ngrams import word_kgrams
 from ..functions.normalize import alpha_tokens, normalise, split_ws, ws_join
+from ..session import cut_lineage
 from .common import INLINE_MAX_ROWS, collect_bounded, row_count_at_most, sized_broadcast
 
 
@@ -51,16 +52,43 @@ def _inline_hit(tokens: Column, structs: DataFrame) -> Column:
     return hit
 
 
+#: Anchor tokens, the most frequent ones, whose documents are matched without a shuffle.
+HOT_ANCHORS = 1_000
+
+
+def anchor_index(words: DataFrame, structs: DataFrame) -> DataFrame:
+    """``(anchor, n_docs, gram, n_tok)``: every cue under the one of its tokens that the
+    fewest documents of ``words`` hold (ties: the least token). A cue with a token
+    that no document holds cannot occur and is left out."""
+    lex = structs.select(F.array_join("toks", " ").alias("gram"), "toks", "n_tok").dropDuplicates(["gram"])
+    parts = lex.select("gram", "n_tok", F.explode(F.array_distinct("toks")).alias("anchor"))
+    counts = (words.join(parts.select("anchor").distinct(), "anchor", "left_semi")
+              .groupBy("anchor").agg(F.count("*").alias("n_docs")))
+    rarest = F.min(F.struct(F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "anchor")).alias("r")
+    return (parts.join(counts, "anchor", "left").groupBy("gram", "n_tok").agg(rarest)
+            .select("r.anchor", "r.n_docs", "gram", "n_tok").where(F.col("n_docs") > 0))
+
+
 def _joined_hits(df: DataFrame, tokens: Column, structs: DataFrame, key: str) -> DataFrame:
-    lengths = [r.n_tok for r in collect_bounded(structs.select("n_tok").distinct(), 1000, "cue lengths")]
+    """Keys of the rows that hold a cue, for a lexicon of any size.
+
+    Only documents that hold a cue's rarest token are compared with it, so the work
+    follows those hits and not the number of k-grams or of cue lengths. The most
+    frequent anchors, a stated number, meet their documents by a broadcast of checked
+    size; without them no key of the other join is hot."""
     tok = df.select(key, tokens.alias("tok"))
-    grams = None
-    for k in sorted(lengths):
-        g = tok.select(key, F.explode(F.array_distinct(word_kgrams("tok", k))).alias("gram"))
-        grams = g if grams is None else grams.unionByName(g)
-    lex = structs.select(F.array_join("toks", " ").alias("gram")).distinct()
-    return (grams.join(sized_broadcast(lex), "gram", "left_semi").select(key).distinct()
-            .withColumn("hit__", F.lit(True)))
+    words = tok.select(key, F.explode(F.array_distinct("tok")).alias("anchor"))
+    index = cut_lineage(anchor_index(words, structs))
+    hot = F.broadcast(index.groupBy("anchor").agg(F.max("n_docs").alias("n"))
+                      .orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS).select("anchor"))
+    often = words.join(sized_broadcast(index.join(hot, "anchor", "left_semi")), "anchor")
+    rest = words.join(hot, "anchor", "left_anti").join(index.join(hot, "anchor", "left_anti"), "anchor")
+    met = often.unionByName(rest).select(key, "gram", "n_tok")
+    # One token is the whole cue; a phrase is looked for between blanks, as no token holds one.
+    phrases = met.where("n_tok > 1").join(
+        tok.select(key, F.concat(F.lit(" "), F.array_join("tok", " "), F.lit(" ")).alias("line")), key)
+    found = phrases.where(F.contains("line", F.concat(F.lit(" "), "gram", F.lit(" ")))).select(key)
+    return met.where("n_tok = 1").select(key).unionByName(found).distinct().withColumn("hit__", F.lit(True))
 
 
 def lexicon_flag(df: DataFrame, cues: DataFrame, text_col: str = "text", key: str = "doc_id",
