@@ -332,7 +332,7 @@ def q_selected_features(spark, sf):
 from ..operators.errors import error_samples  # noqa: E402
 from ..operators.models import ModelSpec, class_weights, fit, scores  # noqa: E402
 from ..operators.split import plan_split, assign_split  # noqa: E402
-from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..session import ensure_checkpoint_dir, written  # noqa: E402
 from ..sources.store import load_features, materialise, md5_prefix_signature  # noqa: E402
 
 
@@ -395,7 +395,9 @@ ERR_THRESHOLD, ERR_K = 0.05, 3
        "THEN substr(replace(text, chr(10), ' '), 1, 240) || '…' ELSE replace(text, chr(10), ' ') END AS snippet "
        f"FROM e JOIN lab ON e.idx = lab.doc_id WHERE rk <= {ERR_K}")
 def q_error_topk(spark, sf):
-    r = stratified_split(_scored(spark, sf), seed=SEED).where(F.col("split") == "val")
+    # three numbers a row, written: the split's passes and both kinds of error read those, not the texts
+    scored = written(_scored(spark, sf), "scored")
+    r = stratified_split(scored, seed=SEED).where(F.col("split") == "val")
     return error_samples(r, read_labelled(spark, sf), ERR_THRESHOLD, ERR_K)
 
 
