@@ -52,6 +52,12 @@ def ws_class() -> str:
     return f"[{ws_body()}]"
 
 
+@functools.cache
+def ws_chars() -> str:
+    """The characters of the class."""
+    return "".join(chr(c) for c in _code_points(str.isspace))
+
+
 @functools.cache
 def non_ws_class() -> str:
     return f"[^{ws_body()}]"

@@ -12,7 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .charclass import WORD_CLASS, accent_maps, non_ws_class, ws_class
+from .charclass import WORD_CLASS, accent_maps, non_ws_class, ws_chars, ws_class
 
 # The reference's regular expressions (Python syntax), kept as
 # plain text; the Spark and DuckDB spellings below are derived from them.
@@ -46,8 +46,14 @@ def _text(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``."""
-    ws = ws_class()
-    return F.regexp_replace(_text(c), rf"^{ws}+|{ws}+\z", "")
+    return F.btrim(_text(c), F.lit(ws_chars()))
+
+
+def collapse_ws(x: Column) -> Column:
+    """Every run of whitespace as one blank. A regex over the class would try its ranges at
+    every character; here every whitespace character is made a blank first."""
+    odd = ws_chars().replace(" ", "")
+    return F.regexp_replace(F.translate(x, odd, " " * len(odd)), " {2,}", " ")
 
 
 def normalise(c) -> Column:
@@ -58,13 +64,12 @@ def normalise(c) -> Column:
     x = F.regexp_replace(x, url_re(), URL_MASK)
     x = F.regexp_replace(x, mention_re(), USER_MASK)
     x = F.regexp_replace(x, ELONG_RE, "$1$1")
-    x = F.regexp_replace(x, f"{ws_class()}+", " ")
-    return F.lower(x)
+    return F.lower(collapse_ws(x))
 
 
 def ws_join(c) -> Column:
     """``" ".join(s.split())``: trim and collapse every whitespace run."""
-    return F.regexp_replace(strip_ws(c), f"{ws_class()}+", " ")
+    return collapse_ws(strip_ws(c))
 
 
 def split_ws(c) -> Column:

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from copy import copy
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 from .common import BROADCAST_MAX_BYTES, sized_broadcast
@@ -333,7 +333,8 @@ class Weighed:
             self.met = term_batches(rows, p, blocks).join(F.broadcast(v), ["block", "term"], "left")
         else:
             self.texts = numbered(rows)
-            self.found = written(slice_terms_of(self.texts, p, self.blocks).join(v.hint("shuffle_merge"), ["block", "term"])
+            # a partition's share of the vocabulary is hashed: the slices' terms, many times as many, are not sorted
+            self.found = written(slice_terms_of(self.texts, p, self.blocks).join(v.hint("shuffle_hash"), ["block", "term"])
                                  .select("batch", "block", "term", "idx", "idf"), "found")
 
     def select(self, selected: DataFrame | None) -> "Weighed":
@@ -347,6 +348,13 @@ class Weighed:
                         else side.join(sized_broadcast(selected.select("idx", "new_idx")), "idx", "left"))
         return out
 
+    def among(self, rows: Column) -> "Weighed":
+        """The same weights where only ``rows`` matter to the caller: others may be left out."""
+        out = copy(self)
+        if self.texts is not None:
+            out.texts = self.texts.where(rows)
+        return out
+
     def map(self, emit, schema: str) -> DataFrame:
         """The rows that ``emit`` makes of each weighed slice, one record batch each."""
         if self.met is not None:
@@ -416,7 +424,7 @@ def class_sums(weighed: Weighed, tags_a_class: int, counted: int) -> DataFrame:
         some = np.flatnonzero(total)
         return pa.RecordBatch.from_arrays([pa.array(known[some // n]), pa.array((some % n).astype(np.int32)),
                                            pa.array(total[some])], ["idx", "class", "w"])
-    return weighed.select(None).map(sums, "idx long, class int, w double")
+    return weighed.among(F.col("tag") % tags_a_class < counted).select(None).map(sums, "idx long, class int, w double")
 
 
 def document_rows(weighed: Weighed, selected: DataFrame | None = None) -> DataFrame:

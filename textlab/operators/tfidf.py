@@ -74,8 +74,8 @@ def lemmatize(df: DataFrame, tok_col: str, lemmas: DataFrame | None, key: str =
             return df.withColumn(out, F.col(tok_col))
         forms = [r.form for r in pairs]
         m = F.create_map(*[x for r in pairs for x in (F.lit(r.form), F.lit(r.lemma))])
-        mapped = F.transform(F.col(tok_col), lambda t: F.when(t.isin(*forms), F.element_at(m, t)).otherwise(t))
-        return df.withColumn(out, F.transform(mapped, F.lower))
+        mapped = F.transform(F.col(tok_col), lambda t: F.lower(F.when(t.isin(*forms), F.element_at(m, t)).otherwise(t)))
+        return df.withColumn(out, mapped)
     toks = df.select(key, F.posexplode(tok_col).alias("pos", "form"))
     joined = toks.join(sized_broadcast(changing, BROADCAST_MAX_ROWS), "form", "left")
     regrouped = (joined.groupBy(key)

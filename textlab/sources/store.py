@@ -70,6 +70,15 @@ def _read_manifest(spark: SparkSession, path: str) -> dict | None:
     return json.loads(rows[0].value) if rows else None
 
 
+def _saved_with(spark: SparkSession, base: str, params: dict) -> bool:
+    """Whether any feature set in ``base`` was made with ``params``, of whatever input."""
+    try:
+        saved = spark.read.text(os.path.join(base, "*", "_manifest")).toLocalIterator()
+        return any(one_line(json.loads(r.value).get("params")) == one_line(json.loads(one_line(params))) for r in saved)
+    except AnalysisException:
+        return False
+
+
 def save_feature_set(fs, path: str, sig: dict) -> None:
     """Write packed features, vocab, selection, then the manifest."""
     spark = fs.docs.sparkSession
@@ -97,17 +106,21 @@ def materialise(spark: SparkSession, base: str, params: dict, inputs: dict[str,
 
     A feature set is filed under the rows that its own pass read: if a single input
     changed between the look-up and the build, that is another key than the one
-    looked up."""
-    sig = signature(params, inputs)
-    path = os.path.join(base, sig["hash"])
-    saved = _read_manifest(spark, path)
-    if saved and saved.get("hash") == sig["hash"]:
-        return path, saved, True
+    looked up. So where no set has these parameters nothing is looked up: the input is
+    not read for a key that cannot be there."""
+    sig = None
+    if len(inputs) > 1 or _saved_with(spark, base, params):
+        sig = signature(params, inputs)
+        path = os.path.join(base, sig["hash"])
+        saved = _read_manifest(spark, path)
+        if saved and saved.get("hash") == sig["hash"]:
+            return path, saved, True
     fs = builder()
     if len(inputs) == 1 and fs.content:
-        (name, looked_up), = sig["inputs"].items()
-        sig = keyed_signature(params, {name: {**looked_up, **fs.content}})
-        path = os.path.join(base, sig["hash"])
+        (name, df), = inputs.items()
+        sig = keyed_signature(params, {name: {"columns": df.columns, **fs.content}})
+    sig = sig or signature(params, inputs)
+    path = os.path.join(base, sig["hash"])
     try:
         save_feature_set(fs, path, sig)
     finally:
