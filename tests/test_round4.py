@@ -58,3 +58,11 @@ def test_an_empty_store_reads_its_input_once(spark, tmp_path, monkeypatch):
         assert not hit and not looked
         assert path.endswith(store.signature(params, {"labelled": docs})["hash"]) and manifest["params"] == store.json.loads(store.one_line(params))
         assert store.materialise(spark, str(tmp_path), params, {"labelled": docs}, build)[::2] == (path, True) and looked
+
+
+def test_models_share_one_look_up(spark, monkeypatch):
+    from textlab.plans import catalog
+    times, real = [], catalog.feature_store
+    monkeypatch.setattr(catalog, "feature_store", lambda *a: times.append(a) or real(*a))
+    assert sorted(r.model for r in catalog.QUERIES["model_areas"](spark, SF001).collect()) == ["logreg", "lsvc", "pac"]
+    assert len(times) == 1
