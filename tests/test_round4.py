@@ -66,3 +66,40 @@ def test_models_share_one_look_up(spark, monkeypatch):
     monkeypatch.setattr(catalog, "feature_store", lambda *a: times.append(a) or real(*a))
     assert sorted(r.model for r in catalog.QUERIES["model_areas"](spark, SF001).collect()) == ["logreg", "lsvc", "pac"]
     assert len(times) == 1
+
+
+def test_packed_passes_equal_plain_gradients(spark):
+    """Losses, gradients and hits of all fits against a dense computation; rows without
+    features, features of all rows, null folds; no Python work for a single row."""
+    import numpy as np
+    from textlab.operators import batched
+    from textlab.operators.models import ModelSpec
+    rng, size, data = np.random.default_rng(5), 40, []
+    for i in range(500):
+        idx = sorted({0, 1, *rng.integers(2, size, rng.integers(0, 6)).tolist()}) if i % 9 else []
+        data.append((i % 2, [0, 1, 2, None][i % 4], (0, size, [int(j) for j in idx], [float(v) for v in rng.normal(size=len(idx))])))
+    x, y = np.zeros((500, size + 1)), np.array([1.0 if d[0] else -1.0 for d in data])
+    for k, d in enumerate(data):
+        x[k, d[2][2]], x[k, -1] = d[2][3], 1.0
+    schema = "label int, fold int, features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    rows = spark.createDataFrame(data, schema).repartition(3)
+    entries, batched.ENTRIES = batched.ENTRIES, 60
+    try:
+        packed = rows.select(F.col("label").alias("code"), "features.indices", "features.values").mapInArrow(
+            batched._packed(size), ", ".join(f"{c} binary" for c in batched.PACK)).persist()
+    finally:
+        batched.ENTRIES = entries
+    assert packed.count() > 9
+    kinds, w = ["logistic", "hinge", "squared_hinge", "logistic"], rng.normal(size=(size + 1, 4))
+    sign, share = np.array([-1.0, 1.0]), np.array([[1.0, 0.5, 2.0, 0.0], [0.0, 3.0, 1.0, 1.0]])
+    sent = spark.sparkContext.broadcast(w)
+    parts = packed.mapInArrow(batched._pass(size, sent, kinds, sign, share), "block long, g binary").collect()
+    loss = sum(np.frombuffer(r.g) for r in parts if r.block == -1)
+    grad = sum(np.frombuffer(r.g).reshape(-1, 4) for r in parts if r.block == 0)
+    z, s = y[:, None] * (x @ w), share[(y > 0).astype(int)]
+    slack = np.maximum(0, 1 - z)
+    value = np.column_stack([np.logaddexp(0, -z[:, 0]), slack[:, 1], slack[:, 2] ** 2, np.logaddexp(0, -z[:, 3])])
+    slope = np.column_stack([-1 / (1 + np.exp(z[:, 0])), -1.0 * (z[:, 1] < 1), -2 * slack[:, 2], -1 / (1 + np.exp(z[:, 3]))])
+    assert np.allclose(loss, (s * value).sum(axis=0)) and np.allclose(grad, x.T @ (s * y[:, None] * slope))
+    f1, _ = batched.fit_folds(rows, size, [ModelSpec("logreg", C=1e-9, max_iter=1), ModelSpec("lsvc", max_iter=3)], [0, 1, 2])
+    assert f1.shape == (2, 3) and np.isfinite(f1).all()
