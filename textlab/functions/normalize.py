@@ -56,15 +56,17 @@ def collapse_ws(x: Column) -> Column:
     return F.regexp_replace(F.translate(x, odd, " " * len(odd)), " {2,}", " ")
 
 
-def normalise(c) -> Column:
-    """strip -> drop tags -> mask URLs -> mask mentions -> squash runs of 3+
-    equal characters to 2 -> collapse whitespace -> lower-case."""
-    x = strip_ws(c)
+def _masked(x: Column) -> Column:
     x = F.regexp_replace(x, HTML_RE, " ")
     x = F.regexp_replace(x, url_re(), URL_MASK)
     x = F.regexp_replace(x, mention_re(), USER_MASK)
-    x = F.regexp_replace(x, ELONG_RE, "$1$1")
-    return F.lower(collapse_ws(x))
+    return F.regexp_replace(x, ELONG_RE, "$1$1")
+
+
+def normalise(c) -> Column:
+    """strip -> drop tags -> mask URLs -> mask mentions -> squash runs of 3+
+    equal characters to 2 -> collapse whitespace -> lower-case."""
+    return F.lower(collapse_ws(_masked(strip_ws(c))))
 
 
 def ws_join(c) -> Column:
@@ -146,8 +148,9 @@ def with_stripped_accents(df: DataFrame, c: str, out: str) -> DataFrame:
 
 def lemma_input(c) -> Column:
     """Text the word block tokenises from accent-stripped text: normalised
-    again (the second pass drops the ``<url>``/``<user>`` masks as tags)."""
-    return normalise(c)
+    again (the second pass drops the ``<url>``/``<user>`` masks as tags), but for
+    whitespace, whose amount no run of word characters depends on."""
+    return F.lower(_masked(_text(c)))
 
 
 # ---------------------------------------------------------------- DuckDB SQL
